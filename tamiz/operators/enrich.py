@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import key_pairs, lookup_join, measure
+from .joins import key_counts, key_pairs, lookup_join, measure
 
 
 class FanOutError(ValueError):
@@ -85,11 +85,7 @@ def enrich(rows: DataFrame, *lookups: Lookup, **limits: int) -> DataFrame:
 
 def duplicate_keys(lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their number of rows."""
-    return (
-        lookup.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .filter(F.col("rows") > 1)
-    )
+    return key_counts(lookup, keys).withColumnRenamed("__n", "rows").filter(F.col("rows") > 1)
 
 
 def join_audit(

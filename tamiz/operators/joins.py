@@ -101,17 +101,18 @@ def row_spread(df: DataFrame) -> Column:
     return F.xxhash64(F.spark_partition_id(), *[F.col(f"`{n}`") for n in names])
 
 
-def split_keys(left: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFrame:
+def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows per key, column ``__n``: a map-side combine on the key columns alone."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+
+
+def split_keys(counts: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFrame:
     """Keys that would overload one task, with the number of salts each needs.
 
-    Counted with a map-side combine on the key columns alone; bounded by
-    ``MAX_SPLIT_KEYS`` rows, largest first.
+    Bounded by ``MAX_SPLIT_KEYS`` rows, largest first.
     """
     return (
-        left.select(*keys)
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .filter(F.col("__n") > rows_per_task)
+        counts.filter(F.col("__n") > rows_per_task)
         .orderBy(F.desc("__n"), *keys)
         .limit(MAX_SPLIT_KEYS)
         .select(*keys, F.ceil(F.col("__n") / rows_per_task).cast("int").alias("__salts"))
@@ -141,17 +142,21 @@ def salted_join(
     how: str = "left",
     null_safe: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Shuffle join in which large left keys are spread over several tasks.
 
     Right rows of a split key are repeated once per salt, at most
     ``left rows / rows_per_task`` extra copies over all keys of a unique lookup.
+    ``counts`` are the :func:`key_counts` of the left side where they exist.
     """
     right, pairs = _hide_keys(right, key_pairs(on))
     left_keys = [l for l, _ in pairs]
     marks = [f"__hk{i}" for i in range(len(left_keys))]
+    if counts is None:
+        counts = key_counts(left, left_keys)
     hot = F.broadcast(
-        split_keys(left, left_keys, rows_per_task).select(
+        split_keys(counts, left_keys, rows_per_task).select(
             *[F.col(k).alias(m) for k, m in zip(left_keys, marks)], "__salts"
         )
     )
@@ -186,6 +191,7 @@ def lookup_join(
     broadcast_rows: int = BROADCAST_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join with a lookup: broadcast if it was measured to fit, salted if not.
 
@@ -197,7 +203,7 @@ def lookup_join(
     if size is None:
         size = measure([(right, [])])[0]
     if not size.fits(broadcast_rows, broadcast_bytes):
-        return salted_join(left, right, pairs, how, null_safe, rows_per_task)
+        return salted_join(left, right, pairs, how, null_safe, rows_per_task, counts)
     small, hidden = _hide_keys(right, pairs)
     return left.join(
         F.broadcast(small), _condition(hidden, null_safe), how

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import lookup_join
+from .joins import key_counts, lookup_join
 from .refint import On, flag_reference
 
 NULL_KEY = "NULL_KEY"
@@ -91,10 +91,6 @@ def min_date(name: str, d: Column, earliest: str, **status: str) -> RowRule:
     return RowRule(name, d >= F.lit(earliest).cast("date"), **status)
 
 
-def _copies(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("__copies"))
-
-
 def _with_foreign_keys(df: DataFrame, rules: Sequence[Rule], **limits: int) -> DataFrame:
     for r in rules:
         if isinstance(r, ForeignKeyRule):
@@ -113,11 +109,12 @@ def apply_rules(df: DataFrame, rules: Sequence[Rule], **limits: int) -> DataFram
     out = df
     for r in rules:
         if isinstance(r, UniqueRule):
-            repeated = _copies(df, r.key).filter(F.col("__copies") > 1)
+            repeated = key_counts(df, r.key).filter(F.col("__n") > 1)
             out = lookup_join(
-                out, repeated, list(r.key), "left", null_safe=r.nulls == "group", **limits
+                out, repeated, list(r.key), "left", null_safe=r.nulls == "group",
+                counts=repeated, **limits,
             )
-            out = out.withColumn(r.name, r.status_of(F.col("__copies"))).drop("__copies")
+            out = out.withColumn(r.name, r.status_of(F.col("__n"))).drop("__n")
     out = _with_foreign_keys(out, rules, **limits)
     row_rules = {r.name: r.status() for r in rules if isinstance(r, RowRule)}
     out = out.withColumns(row_rules) if row_rules else out
@@ -158,9 +155,9 @@ def summarize_rules(df: DataFrame, rules: Sequence[Rule], **limits: int) -> Data
     for r in rules:
         if isinstance(r, UniqueRule):
             parts.append(
-                _copies(df, r.key)
-                .groupBy(r.status_of(F.col("__copies")).alias("status"))
-                .agg(F.sum("__copies").alias("rows"))
+                key_counts(df, r.key)
+                .groupBy(r.status_of(F.col("__n")).alias("status"))
+                .agg(F.sum("__n").alias("rows"))
                 .select(F.lit(r.name).alias("rule"), "status", "rows")
             )
     return reduce(DataFrame.unionByName, parts).filter(F.col("rows") > 0)

@@ -6,7 +6,7 @@ plan deliberately differs; each function says in which way.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -371,28 +371,6 @@ def clean_census(levels: Tables) -> dict[str, DataFrame]:
     return out
 
 
-def clean_all(
-    raw: Tables, census: Tables, compat: bool = False, provinces: Sequence[str] = V.PROVINCES
-) -> dict[str, DataFrame]:
-    """The sixteen clean tables."""
-    out = {
-        "provincias": clean_provinces(raw["provincias"], provinces),
-        "sexo": clean_sexes(raw["sexo"]),
-        "facultades": clean_faculties(raw["facultades"]),
-        "escuelas": clean_schools(raw["escuelas"]),
-        "carreras": clean_programs(raw["carreras"]),
-        "periodos": clean_periods(raw["periodos"]),
-        "proyectos": clean_projects(raw["proyectos"]),
-        "titulo_carrera": clean_titles(raw["titulo_carrera"]),
-        "materia": clean_subjects(raw["materia"]),
-    }
-    out["ciudades"] = clean_cities(raw["ciudades"], out["provincias"])
-    out["estudiante"] = clean_students(raw["estudiante"], out["ciudades"], compat)
-    out["matricula"] = clean_enrolments(raw["matricula"], out["carreras"])
-    out["graduados"] = clean_graduates(raw["graduados"], out["carreras"])
-    return out | clean_census(census)
-
-
 # --- integration ------------------------------------------------------------
 
 
@@ -537,24 +515,6 @@ def graduate_final(
     return joined.select(*[F.col(c).alias(o) for c, o in names.items()])
 
 
-def integrate(clean_tables: Tables, compat: bool = False) -> dict[str, DataFrame]:
-    """The four integrated tables. Pass staged tables: lookups are measured."""
-    t = clean_tables
-    programs = program_final(t["carreras"], t["escuelas"], t["facultades"])
-    return {
-        "estudiante_final": student_final(
-            t["estudiante"], t["ciudades"], t["provincias"], t["sexo"]
-        ),
-        "carrera_final": programs,
-        "matricula_final": enrolment_final(
-            t["matricula"], t["periodos"], programs, t["materia"], compat
-        ),
-        "graduados_final": graduate_final(
-            t["graduados"], programs, t["titulo_carrera"], t["proyectos"], compat
-        ),
-    }
-
-
 # --- the whole run ----------------------------------------------------------
 
 
@@ -565,56 +525,56 @@ def build(
     fmt: str = "parquet",
     compat: bool = False,
     provinces: Sequence[str] = V.PROVINCES,
+    only: Sequence[str] | None = None,
 ) -> dict[str, DataFrame]:
     """Clean, stage, integrate from the staged copy, stage: twenty tables.
 
-    Parents are staged before their children are cleaned, so no table is
-    computed twice.
+    Tables are staged before others refer to them, so none is computed twice
+    and lookups are measured on files. ``only`` restricts the run to the named
+    tables; what they refer to must be among them.
     """
     done: dict[str, DataFrame] = {}
 
-    def put(tables: Tables) -> None:
+    def put(**makers: Callable[[], DataFrame]) -> None:
+        tables = {n: make() for n, make in makers.items() if only is None or n in only}
         done.update(stage_tables(tables, base, fmt))
 
     put(
-        {
-            "provincias": clean_provinces(raw["provincias"], provinces),
-            "sexo": clean_sexes(raw["sexo"]),
-            "facultades": clean_faculties(raw["facultades"]),
-            "escuelas": clean_schools(raw["escuelas"]),
-            "carreras": clean_programs(raw["carreras"]),
-            "periodos": clean_periods(raw["periodos"]),
-            "proyectos": clean_projects(raw["proyectos"]),
-            "titulo_carrera": clean_titles(raw["titulo_carrera"]),
-            "materia": clean_subjects(raw["materia"]),
-            **clean_census(census),
-        }
+        provincias=lambda: clean_provinces(raw["provincias"], provinces),
+        sexo=lambda: clean_sexes(raw["sexo"]),
+        facultades=lambda: clean_faculties(raw["facultades"]),
+        escuelas=lambda: clean_schools(raw["escuelas"]),
+        carreras=lambda: clean_programs(raw["carreras"]),
+        periodos=lambda: clean_periods(raw["periodos"]),
+        proyectos=lambda: clean_projects(raw["proyectos"]),
+        titulo_carrera=lambda: clean_titles(raw["titulo_carrera"]),
+        materia=lambda: clean_subjects(raw["materia"]),
+        dpa_provincias=lambda: clean_census(census)["dpa_provincias"],
+        dpa_cantones=lambda: clean_census(census)["dpa_cantones"],
+        dpa_parroquias=lambda: clean_census(census)["dpa_parroquias"],
     )
-    put({"ciudades": clean_cities(raw["ciudades"], done["provincias"])})
     put(
-        {
-            "estudiante": clean_students(raw["estudiante"], done["ciudades"], compat),
-            "matricula": clean_enrolments(raw["matricula"], done["carreras"]),
-            "graduados": clean_graduates(raw["graduados"], done["carreras"]),
-            "carrera_final": program_final(
-                done["carreras"], done["escuelas"], done["facultades"]
-            ),
-        }
+        ciudades=lambda: clean_cities(raw["ciudades"], done["provincias"]),
+        matricula=lambda: clean_enrolments(raw["matricula"], done["carreras"]),
+        graduados=lambda: clean_graduates(raw["graduados"], done["carreras"]),
+        carrera_final=lambda: program_final(
+            done["carreras"], done["escuelas"], done["facultades"]
+        ),
     )
     put(
-        {
-            "estudiante_final": student_final(
-                done["estudiante"], done["ciudades"], done["provincias"], done["sexo"]
-            ),
-            "matricula_final": enrolment_final(
-                done["matricula"], done["periodos"], done["carrera_final"], done["materia"],
-                compat,
-            ),
-            "graduados_final": graduate_final(
-                done["graduados"], done["carrera_final"], done["titulo_carrera"],
-                done["proyectos"], compat,
-            ),
-        }
+        estudiante=lambda: clean_students(raw["estudiante"], done["ciudades"], compat),
+        matricula_final=lambda: enrolment_final(
+            done["matricula"], done["periodos"], done["carrera_final"], done["materia"], compat
+        ),
+        graduados_final=lambda: graduate_final(
+            done["graduados"], done["carrera_final"], done["titulo_carrera"],
+            done["proyectos"], compat,
+        ),
+    )
+    put(
+        estudiante_final=lambda: student_final(
+            done["estudiante"], done["ciudades"], done["provincias"], done["sexo"]
+        )
     )
     return done
 

@@ -200,3 +200,15 @@ def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         for n in _names(text)
     }
     return spark.sql(text, **sources)
+
+
+class RawTables(dict):
+    """All raw tables by source name, each derived when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        super().__init__()
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = raw(self.spark, self.sf_dir, f"raw_{name}")
+        return self[name]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ...functions.codes import map_code
+from ...operators.enrich import Lookup, enrich
 from ...operators.refint import violators
 from ...operators.rules import (
     ForeignKeyRule, UniqueRule, apply_rules, date_range, in_domain, min_date, nonzero,
@@ -86,10 +87,13 @@ def rule_date_range(s: SparkSession, d: str) -> DataFrame:
     lines = table(s, d, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"
     )
-    orders = table(s, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
-    # Two facts of unknown size: the choice of join is left to the engine's own
-    # size check, and its adaptive execution splits large partitions.
-    dated = lines.join(orders, "l_orderkey")
+    dated = enrich(
+        lines,
+        Lookup(
+            table(s, d, "orders"), [("l_orderkey", "o_orderkey")], ["o_orderdate"],
+            expect="trusted", how="inner", name="order",
+        ),
+    )
     rule = date_range("r_range", F.col("o_orderdate"), F.col("l_shipdate"))
     return apply_rules(dated, [rule]).drop("o_orderdate", "l_shipdate")
 

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from ...operators.ragged import clean_rows
 from ...sources.delimited import CORRUPT, declare, read_delimited
 from ...sources.spreadsheet import typed_table, workbook_rows
-from ...sources.staged import load_tables, path_writer, read_tables, shared_folder, stage
+from ...sources.staged import (
+    load_tables, path_writer, read_tables, register_views, shared_folder, stage, stage_tables,
+)
 from .base import query, table
 
 ROWS_PER_WORKBOOK = 5_000
@@ -87,6 +89,24 @@ def load_report(s: SparkSession, d: str) -> DataFrame:
     ).drop("error")
 
 
+@query(
+    "staged_sql",
+    """SELECT n_name AS nation, count(*) AS orders FROM orders JOIN customer ON o_custkey = c_custkey
+       JOIN nation ON c_nationkey = n_nationkey GROUP BY 1""",
+)
+def staged_sql(s: SparkSession, d: str) -> DataFrame:
+    """SQL over the staged layer, whatever wrote it."""
+    names = ["orders", "customer", "nation"]
+    register_views(
+        stage_tables({n: table(s, d, n) for n in names}, shared_folder(s, "staged")), "dsa_"
+    )
+    return s.sql(
+        """SELECT n_name AS nation, count(*) AS orders FROM dsa_orders
+           JOIN dsa_customer ON o_custkey = c_custkey
+           JOIN dsa_nation ON c_nationkey = n_nationkey GROUP BY n_name"""
+    )
+
+
 # --- workbooks made from the tables -----------------------------------------
 
 _XML = '<?xml version="1.0" encoding="UTF-8"?>'
@@ -137,7 +157,10 @@ def _workbooks(rows: DataFrame, columns: list[str], header: bool) -> DataFrame:
                 content = make_workbook(([list(columns)] if header else []) + body)
                 yield pd.DataFrame({"path": ["made"], "content": [content]})
 
-    return rows.select(*columns).mapInPandas(build, "path string, content binary")
+    tasks = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.select(*columns).repartition(tasks).mapInPandas(
+        build, "path string, content binary"
+    )
 
 
 @query(

@@ -106,9 +106,11 @@ def sheet_rows(content: bytes) -> Iterator[tuple[int, list[str | None]]]:
     with zipfile.ZipFile(io.BytesIO(content)) as z:
         strings, dates = _shared_strings(z), _date_styles(z)
         with z.open(_first_sheet(z)) as sheet:
-            number = 0
-            for _, row in ElementTree.iterparse(sheet):
-                if row.tag != f"{_MAIN}row":
+            number, data = 0, None
+            for event, row in ElementTree.iterparse(sheet, ("start", "end")):
+                if row.tag == f"{_MAIN}sheetData":
+                    data = row
+                if event == "start" or row.tag != f"{_MAIN}row":
                     continue
                 number = int(row.get("r", number + 1))
                 cells: list[str | None] = []
@@ -116,7 +118,7 @@ def sheet_rows(content: bytes) -> Iterator[tuple[int, list[str | None]]]:
                     at = _column_index(c.get("r", "")) if c.get("r") else len(cells)
                     cells += [None] * (at - len(cells))
                     cells.append(_cell(c, strings, dates))
-                row.clear()
+                data.clear()
                 yield number, cells
 
 

@@ -6,7 +6,9 @@ import os
 import tempfile
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 REPORT_SCHEMA = "table string, status string, rows long, error string"
@@ -37,8 +39,12 @@ def stage(
     """Overwrite a staged table, schema included, and return it re-read.
 
     The returned frame reads the files, so what follows neither repeats the
-    plan behind ``df`` nor depends on executors that held it.
+    plan behind ``df`` nor depends on executors that held it. A partitioned
+    table is rebalanced by its partition columns first: one large partition is
+    split over several files, small ones do not scatter over all tasks.
     """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -47,10 +53,27 @@ def stage(
 
 
 def stage_tables(
-    tables: Mapping[str, DataFrame], base: str, fmt: str = "parquet"
+    tables: Mapping[str, DataFrame], base: str, fmt: str = "parquet", at_once: int = 4
 ) -> dict[str, DataFrame]:
-    """Stage every table under ``base/<name>``."""
-    return {n: stage(df, f"{base}/{n}", fmt) for n, df in tables.items()}
+    """Stage every table under ``base/<name>``, a few at once.
+
+    Small tables leave most of a cluster idle; writing some side by side fills
+    it. Any failure is raised after the running writes have ended.
+    """
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        running = {
+            n: pool.submit(
+                inheritable_thread_target(df.sparkSession)(stage), df, f"{base}/{n}", fmt
+            )
+            for n, df in tables.items()
+        }
+    return {n: r.result() for n, r in running.items()}
+
+
+def register_views(tables: Mapping[str, DataFrame], prefix: str = "") -> None:
+    """Make tables available to SQL as ``<prefix><name>``."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(f"{prefix}{name}")
 
 
 def read_tables(
