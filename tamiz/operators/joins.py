@@ -61,11 +61,13 @@ def _row_bytes(df: DataFrame) -> Column:
     return reduce(lambda a, b: a + b, parts).cast("long")
 
 
-def measure(lookups: Sequence[tuple[DataFrame, Sequence[str]]]) -> list[LookupSize]:
+def measure(
+    lookups: Sequence[tuple[DataFrame, Sequence[str]]], largest: str | None = None
+) -> list[LookupSize]:
     """Rows, bytes and largest key group of each lookup, all in one job.
 
     Without keys a lookup is only summed up, which needs no shuffle; its
-    ``max_per_key`` is then 1.
+    ``max_per_key`` is then the maximum of column ``largest``, or 1.
     """
 
     def one(i: int, df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -73,7 +75,9 @@ def measure(lookups: Sequence[tuple[DataFrame, Sequence[str]]]) -> list[LookupSi
         if not keys:
             return df.agg(
                 F.lit(i).alias("i"), n.alias("rows"),
-                F.coalesce(b, F.lit(0)).alias("bytes"), F.lit(1).cast("long").alias("m"),
+                F.coalesce(b, F.lit(0)).alias("bytes"),
+                F.coalesce(F.max(largest) if largest else F.lit(1), F.lit(0))
+                .cast("long").alias("m"),
             )
         can_match = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys])
         return (
@@ -142,21 +146,17 @@ def salted_join(
     how: str = "left",
     null_safe: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
-    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Shuffle join in which large left keys are spread over several tasks.
 
     Right rows of a split key are repeated once per salt, at most
     ``left rows / rows_per_task`` extra copies over all keys of a unique lookup.
-    ``counts`` are the :func:`key_counts` of the left side where they exist.
     """
     right, pairs = _hide_keys(right, key_pairs(on))
     left_keys = [l for l, _ in pairs]
     marks = [f"__hk{i}" for i in range(len(left_keys))]
-    if counts is None:
-        counts = key_counts(left, left_keys)
     hot = F.broadcast(
-        split_keys(counts, left_keys, rows_per_task).select(
+        split_keys(key_counts(left, left_keys), left_keys, rows_per_task).select(
             *[F.col(k).alias(m) for k, m in zip(left_keys, marks)], "__salts"
         )
     )
@@ -191,7 +191,6 @@ def lookup_join(
     broadcast_rows: int = BROADCAST_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
-    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join with a lookup: broadcast if it was measured to fit, salted if not.
 
@@ -203,7 +202,7 @@ def lookup_join(
     if size is None:
         size = measure([(right, [])])[0]
     if not size.fits(broadcast_rows, broadcast_bytes):
-        return salted_join(left, right, pairs, how, null_safe, rows_per_task, counts)
+        return salted_join(left, right, pairs, how, null_safe, rows_per_task)
     small, hidden = _hide_keys(right, pairs)
     return left.join(
         F.broadcast(small), _condition(hidden, null_safe), how

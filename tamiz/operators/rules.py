@@ -11,10 +11,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import key_counts, lookup_join
+from .joins import (
+    BROADCAST_BYTES, BROADCAST_ROWS, NULL_SALTS, ROWS_PER_TASK, LookupSize, key_counts,
+    lookup_join, measure, row_spread, split_keys,
+)
 from .refint import On, flag_reference
 
 NULL_KEY = "NULL_KEY"
@@ -100,21 +103,52 @@ def _with_foreign_keys(df: DataFrame, rules: Sequence[Rule], **limits: int) -> D
     return df
 
 
-def apply_rules(df: DataFrame, rules: Sequence[Rule], **limits: int) -> DataFrame:
-    """Add one status column per rule, keeping every row.
-
-    Copies per key are counted with a map-side combine and only repeated keys
-    are joined back, so a hot key never gathers its rows in one window.
+def _count_copies(
+    df: DataFrame,
+    rule: UniqueRule,
+    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Add ``__copies``: rows with the same key, or any number above 1 if more.
+
+    Keys are counted first, with a map-side combine on the key columns alone.
+    Where few repeat they are broadcast and no row moves. Otherwise rows are
+    counted in windows; keys too large for one task are known to repeat, so
+    their rows need no count and are spread over salts instead, like rows whose
+    NULL key decides the status.
     """
+    keys, null_safe = list(rule.key), rule.nulls == "group"
+    repeated = key_counts(df, keys).filter(F.col("__n") > 1)
+    size = measure([(repeated, [])], largest="__n")[0]
+    if size.fits(broadcast_rows, broadcast_bytes):
+        found = lookup_join(df, repeated, keys, "left", size=size, null_safe=null_safe)
+        return found.withColumnRenamed("__n", "__copies")
+
+    salt, hot = F.lit(0), F.lit(False)
+    rows, spread = df, row_spread(df)
+    if size.max_per_key > rows_per_task:
+        # Bounded by MAX_SPLIT_KEYS rows, so it always fits.
+        split = split_keys(repeated, keys, rows_per_task)
+        rows = lookup_join(df, split, keys, "left", size=LookupSize(0, 0, 1), null_safe=null_safe)
+        hot = F.col("__salts").isNotNull()
+        salt = F.when(hot, F.pmod(spread, F.col("__salts"))).otherwise(salt)
+    if not null_safe:
+        any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        salt = F.when(any_null, F.pmod(spread, F.lit(NULL_SALTS))).otherwise(salt)
+    rows = rows.select(*df.columns, hot.alias("__hot"), salt.alias("__salt"))
+    in_window = F.count(F.lit(1)).over(Window.partitionBy(*keys, "__salt"))
+    copies = F.when(F.col("__hot"), F.lit(2)).otherwise(in_window)
+    return rows.withColumn("__copies", copies).drop("__hot", "__salt")
+
+
+def apply_rules(df: DataFrame, rules: Sequence[Rule], **limits: int) -> DataFrame:
+    """Add one status column per rule, keeping every row."""
     out = df
     for r in rules:
         if isinstance(r, UniqueRule):
-            repeated = key_counts(df, r.key).filter(F.col("__n") > 1)
-            out = lookup_join(
-                out, repeated, list(r.key), "left", null_safe=r.nulls == "group",
-                counts=repeated, **limits,
-            )
-            out = out.withColumn(r.name, r.status_of(F.col("__n"))).drop("__n")
+            out = _count_copies(out, r, **limits)
+            out = out.withColumn(r.name, r.status_of(F.col("__copies"))).drop("__copies")
     out = _with_foreign_keys(out, rules, **limits)
     row_rules = {r.name: r.status() for r in rules if isinstance(r, RowRule)}
     out = out.withColumns(row_rules) if row_rules else out
