@@ -36,7 +36,10 @@ def dedup(
     """
     keys = [key] if isinstance(key, str) else list(key)
     first = [F.col(o) if isinstance(o, str) else o for o in order]
-    window = Window.partitionBy(*keys).orderBy(*first, *tie_break(df, keys))
+    order_by = [*first, *tie_break(df, keys)]
+    if not order_by:
+        return df.distinct()
+    window = Window.partitionBy(*keys).orderBy(*order_by)
     return (
         df.withColumn("__rn", F.row_number().over(window))
         .filter(F.col("__rn") == 1)

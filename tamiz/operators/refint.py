@@ -16,7 +16,10 @@ On = str | Sequence[str | tuple[str, str]]
 def reference_keys(reference: DataFrame, pairs: KeyPairs) -> DataFrame:
     """Distinct non-null keys of the reference side."""
     keys = [r for _, r in pairs]
-    return reference.select(*keys).dropna().distinct()
+    # Plain null tests reach the file scan; dropna() would not be pushed down.
+    for k in keys:
+        reference = reference.filter(F.col(k).isNotNull())
+    return reference.select(*keys).distinct()
 
 
 def _holds(condition: Column) -> Column:

@@ -13,6 +13,7 @@ from ..operators.dims import (
     calendar_dim, load_stamp, rename_and_stamp, surrogate_key, with_unknown_member,
 )
 from ..operators.enrich import Lookup, enrich
+from ..sources.staged import stage_tables
 from . import values as V
 
 
@@ -220,3 +221,52 @@ def time_dim(
 ) -> DataFrame:
     """Calendar dimension with Spanish names."""
     return calendar_dim(spark, start, end, V.MONTHS, V.WEEKDAYS, V.HALF_YEARS)
+
+
+def geographic_location_dim(geography: DataFrame, run_ts: str | None = None) -> DataFrame:
+    """Keyed geographic dimension with its unknown member 0."""
+    keyed = surrogate_key(geography, ["cod_parroquia"], "id_ubicgeografica")
+    codes = ("cod_pais", "dpa", "cod_provincia", "cod_canton", "cod_parroquia")
+    names = ("pais", "provincia", "canton", "parroquia")
+    stamps = ("etl_fecha_ini", "etl_fecha_fin", "etl_fecha_carga")
+    return with_unknown_member(
+        keyed,
+        {
+            "id_ubicgeografica": 0,
+            **{c: V.UNKNOWN_CODE for c in codes},
+            **{c: V.UNKNOWN_NAME for c in names},
+            **{c: load_stamp(run_ts) for c in stamps},
+        },
+    )
+
+
+def build_warehouse(
+    staged: Mapping[str, DataFrame],
+    base: str,
+    fmt: str = "parquet",
+    run_ts: str | None = None,
+    province_map: DataFrame | None = None,
+    compat: bool = False,
+) -> dict[str, DataFrame]:
+    """All dimensions from the staged tables, written under ``base``."""
+    t = staged
+    spark = t["carreras"].sparkSession
+    location = academic_location(t["carreras"], t["escuelas"], t["facultades"], run_ts)
+    done = stage_tables(
+        {
+            "d_ubicacion_academica": academic_location_dim(location, run_ts),
+            "d_materia": subject_dim(t["materia"], run_ts),
+            "d_titulo": title_dim(t["titulo_carrera"], t["carreras"], run_ts),
+            "d_periodicidad": period_dim(t["periodos"], run_ts),
+            "d_proyecto": project_dim(t["proyectos"], run_ts),
+            "d_ubicgeografica": geographic_location_dim(geographic_dim(t, run_ts), run_ts),
+            "d_tiempo": time_dim(spark),
+        },
+        base, fmt,
+    )
+    students = student_dim(
+        t["estudiante"], t["sexo"], t["ciudades"],
+        done["d_ubicgeografica"].filter("id_ubicgeografica <> 0"),
+        run_ts, province_map, compat,
+    )
+    return done | stage_tables({"d_estudiante": students}, base, fmt)
