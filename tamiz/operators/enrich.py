@@ -62,7 +62,7 @@ def enrich(rows: DataFrame, *lookups: Lookup, **limits: int) -> DataFrame:
     steps = [lk.prepared() for lk in lookups]
     sizes = measure(
         [
-            (frame, [k for _, k in pairs] if lk.expect == "one" else [])
+            (frame, [] if lk.expect == "trusted" else [k for _, k in pairs])
             for lk, (frame, pairs) in zip(lookups, steps)
         ]
     )

@@ -81,11 +81,11 @@ def measure(
             )
         can_match = reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys])
         return (
-            df.groupBy(*keys).agg(n.alias("n"), b.alias("b")).agg(
+            df.groupBy(*keys).agg(n.alias("__n"), b.alias("__b")).agg(
                 F.lit(i).alias("i"),
-                F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-                F.coalesce(F.sum("b"), F.lit(0)).alias("bytes"),
-                F.coalesce(F.max(F.when(can_match, F.col("n"))), F.lit(0)).alias("m"),
+                F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"),
+                F.coalesce(F.sum("__b"), F.lit(0)).alias("bytes"),
+                F.coalesce(F.max(F.when(can_match, F.col("__n"))), F.lit(0)).alias("m"),
             )
         )
 
@@ -131,14 +131,66 @@ def _condition(pairs: KeyPairs, null_safe: bool) -> Column:
     return reduce(lambda a, b: a & b, tests)
 
 
-def _hide_keys(right: DataFrame, pairs: KeyPairs) -> tuple[DataFrame, list[tuple[str, str]]]:
+def _hide_keys(
+    left: DataFrame, right: DataFrame, pairs: KeyPairs
+) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """Right side with its keys under names the left side does not have."""
+    prefix = "__rk"
+    while any(c.startswith(prefix) for c in left.columns):
+        prefix += "_"
     keys = [r for _, r in pairs]
-    hidden = [f"__rk{i}" for i in range(len(keys))]
+    hidden = [f"{prefix}{i}" for i in range(len(keys))]
     rest = [c for c in right.columns if c not in keys]
     renamed = right.select(*[F.col(k).alias(h) for k, h in zip(keys, hidden)], *rest)
     return renamed, [(l, h) for (l, _), h in zip(pairs, hidden)]
 
 
+def _mark_split(
+    df: DataFrame, split: DataFrame, keys: Sequence[str], null_safe: bool, names: Sequence[str]
+) -> DataFrame:
+    """Add the salt counts of split keys; ``split`` is bounded, so it is broadcast."""
+    marks = [f"__hk{i}" for i in range(len(keys))]
+    own = split.columns[: len(keys)]
+    hot = split.select(*[F.col(k).alias(m) for k, m in zip(own, marks)], *names)
+    return df.join(F.broadcast(hot), _condition(list(zip(keys, marks)), null_safe), "left").drop(
+        *marks
+    )
+
+
+def _salts(count: str) -> Column:
+    return F.sequence(F.lit(0), F.coalesce(F.col(count), F.lit(1)) - 1)
+
+
+def _grid_join(
+    left: DataFrame, right: DataFrame, pairs: KeyPairs, split: DataFrame,
+    null_safe: bool, rows_per_task: int,
+) -> DataFrame:
+    """Inner join on keys that are large on the right, and maybe on the left.
+
+    Each such key is a grid of tasks: a left row has one row of the grid and is
+    repeated over its columns, a right row the other way round, so every pair of
+    rows meets once.
+    """
+    left_keys, right_keys = [l for l, _ in pairs], [r for _, r in pairs]
+    left_salts = split_keys(key_counts(left, left_keys), left_keys, rows_per_task)
+    grid = _mark_split(
+        split.withColumnRenamed("__salts", "__right"), left_salts, right_keys, null_safe,
+        ["__salts"],
+    ).withColumnRenamed("__salts", "__left")
+    cell = F.coalesce(F.pmod(row_spread(left), F.col("__left")), F.lit(0)).cast("int")
+    left_cells = _mark_split(left, grid, left_keys, null_safe, ["__left", "__right"]).select(
+        *left.columns, cell.alias("__i"), F.explode(_salts("__right")).alias("__j")
+    )
+    cell = F.pmod(row_spread(right), F.col("__right")).cast("int")
+    right_cells = (
+        _mark_split(right, grid, right_keys, null_safe, ["__left", "__right"])
+        .filter(F.col("__right").isNotNull())
+        .select(*right.columns, cell.alias("__y"), F.explode(_salts("__left")).alias("__x"))
+    )
+    on = _condition([*pairs, ("__i", "__x"), ("__j", "__y")], null_safe)
+    return left_cells.join(right_cells, on, "inner").drop("__i", "__j", "__x", "__y", *right_keys)
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -146,38 +198,47 @@ def salted_join(
     how: str = "left",
     null_safe: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
+    largest_group: int = 1,
 ) -> DataFrame:
     """Shuffle join in which large left keys are spread over several tasks.
 
     Right rows of a split key are repeated once per salt, at most
     ``left rows / rows_per_task`` extra copies over all keys of a unique lookup.
+    ``largest_group`` is the most right rows one key has; if that is too many
+    for one task as well, those keys are joined apart, over a grid.
     """
-    right, pairs = _hide_keys(right, key_pairs(on))
-    left_keys = [l for l, _ in pairs]
-    marks = [f"__hk{i}" for i in range(len(left_keys))]
-    hot = F.broadcast(
-        split_keys(key_counts(left, left_keys), left_keys, rows_per_task).select(
-            *[F.col(k).alias(m) for k, m in zip(left_keys, marks)], "__salts"
+    right, pairs = _hide_keys(left, right, key_pairs(on))
+    left_keys, right_keys = [l for l, _ in pairs], [r for _, r in pairs]
+    if how in ("left_semi", "left_anti"):
+        right = right.select(*right_keys).distinct()
+    elif largest_group > rows_per_task:
+        split = split_keys(key_counts(right, right_keys), right_keys, rows_per_task)
+        keys, few = split.select(*right_keys), LookupSize(0, 0, 1)
+        apart = _grid_join(
+            lookup_join(left, keys, pairs, "left_semi", few, null_safe),
+            right, pairs, split, null_safe, rows_per_task,
         )
-    )
+        same = [(r, r) for r in right_keys]
+        rest = salted_join(
+            lookup_join(left, keys, pairs, "left_anti", few, null_safe),
+            lookup_join(right, keys, same, "left_anti", few, null_safe),
+            pairs, how, null_safe, rows_per_task,
+        )
+        return rest.unionByName(apart)
 
+    split = split_keys(key_counts(left, left_keys), left_keys, rows_per_task)
     row = row_spread(left)
     salt = F.coalesce(F.pmod(row, F.col("__salts")), F.lit(0))
     if not null_safe:
         any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in left_keys])
         salt = F.when(any_null, F.pmod(row, F.lit(NULL_SALTS))).otherwise(salt)
-    salted = left.join(hot, _condition(list(zip(left_keys, marks)), null_safe), "left").select(
+    salted = _mark_split(left, split, left_keys, null_safe, ["__salts"]).select(
         *left.columns, salt.cast("int").alias("__salt")
     )
-
-    right_keys = [r for _, r in pairs]
-    last_salt = F.coalesce(F.col("__salts"), F.lit(1)) - 1
-    copies = right.join(hot, _condition(list(zip(right_keys, marks)), null_safe), "left").select(
-        *right.columns, F.explode(F.sequence(F.lit(0), last_salt)).alias("__copy")
-    )
-    joined = salted.join(
-        copies, _condition([*pairs, ("__salt", "__copy")], null_safe), how
+    copies = _mark_split(right, split, right_keys, null_safe, ["__salts"]).select(
+        *right.columns, F.explode(_salts("__salts")).alias("__copy")
     )
+    joined = salted.join(copies, _condition([*pairs, ("__salt", "__copy")], null_safe), how)
     return joined.drop("__salt", "__copy", *right_keys)
 
 
@@ -200,10 +261,11 @@ def lookup_join(
     """
     pairs = key_pairs(on)
     if size is None:
-        size = measure([(right, [])])[0]
+        keys = [] if how in ("left_semi", "left_anti") else [r for _, r in pairs]
+        size = measure([(right, keys)])[0]
     if not size.fits(broadcast_rows, broadcast_bytes):
-        return salted_join(left, right, pairs, how, null_safe, rows_per_task)
-    small, hidden = _hide_keys(right, pairs)
+        return salted_join(left, right, pairs, how, null_safe, rows_per_task, size.max_per_key)
+    small, hidden = _hide_keys(left, right, pairs)
     return left.join(
         F.broadcast(small), _condition(hidden, null_safe), how
     ).drop(*[h for _, h in hidden])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean, default_if_blank
-from .joins import KeyPairs, key_pairs, lookup_join
+from .joins import KeyPairs, key_pairs, lookup_join, measure
 
 On = str | Sequence[str | tuple[str, str]]
 
@@ -45,7 +45,8 @@ def flag_reference(
     found = F.col("__found").isNotNull()
     if exempt is not None:
         found = found | _holds(exempt)
-    joined = lookup_join(df, keys, pairs, "left", **limits)
+    size = measure([(keys, [])])[0]
+    joined = lookup_join(df, keys, pairs, "left", size=size, **limits)
     kept = [c for c in df.columns if c != into]
     return joined.select(*kept, F.when(found, F.lit(ok)).otherwise(F.lit(bad)).alias(into))
 

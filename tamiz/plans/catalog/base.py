@@ -6,6 +6,7 @@ import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,8 +20,15 @@ ORACLES: dict[str, str] = {}
 CTES: dict[str, str] = {}
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is looked up in the files only once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ...operators.enrich import Lookup, duplicate_keys, enrich, join_audit
-from ...operators.joins import salted_join
+from ...operators.joins import lookup_join, salted_join
 from ...operators.refint import flag_reference, keep_valid, lookup_or_default, violators
 from .base import query, table
 
@@ -206,6 +206,27 @@ def salted_left_join(s: SparkSession, d: str) -> DataFrame:
     return salted_join(lines, suppliers, [("k", "s_suppkey")], rows_per_task=5_000).drop("k")
 
 
+@query(
+    "salted_fanout_join",
+    """SELECT l_suppkey, k, c_custkey FROM (
+         SELECT l_suppkey, CASE WHEN l_linenumber <= 3 THEN 3 ELSE l_suppkey % 25 END AS k
+         FROM lineitem WHERE l_quantity = 1)
+       LEFT JOIN (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 3 ELSE c_nationkey END AS n
+                  FROM customer WHERE c_acctbal < 0) ON k = n""",
+)
+def salted_fanout_join(s: SparkSession, d: str) -> DataFrame:
+    """Row-multiplying shuffle join in which one key is hot on both sides."""
+    line = F.col("l_linenumber")
+    lines = table(s, d, "lineitem").filter("l_quantity = 1").select(
+        "l_suppkey", F.when(line <= 3, F.lit(3)).otherwise(F.col("l_suppkey") % 25).alias("k")
+    )
+    debtors = table(s, d, "customer").filter("c_acctbal < 0").select(
+        "c_custkey",
+        F.when(F.col("c_custkey") % 3 == 0, F.lit(3)).otherwise(F.col("c_nationkey")).alias("n"),
+    )
+    return lookup_join(lines, debtors, [("k", "n")], broadcast_rows=0, rows_per_task=20)
+
+
 # --- references -------------------------------------------------------------
 
 _KNOWN = f"(SELECT c_custkey FROM customer WHERE c_nationkey < {KNOWN_NATIONS})"

@@ -49,7 +49,11 @@ def stage(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
-    return read_staged(df.sparkSession, path, fmt)
+    reader = df.sparkSession.read.format(fmt)
+    if fmt == "parquet":
+        # Known already; inferring would also turn partition codes into numbers.
+        reader = reader.schema(df.schema)
+    return reader.load(path)
 
 
 def stage_tables(

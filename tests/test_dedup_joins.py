@@ -89,10 +89,19 @@ def test_salted_join_equals_broadcast_join(rows, skewed, lookup, how, null_safe)
     assert rows(plain) == rows(salted) == rows(forced)
 
 
-def test_salted_join_keeps_fan_out(rows, skewed, lookup):
-    twice = lookup.unionByName(lookup)
-    plain = lookup_join(skewed, twice, [("k", "id")])
-    assert rows(salted_join(skewed, twice, [("k", "id")], rows_per_task=7)) == rows(plain)
+@pytest.mark.parametrize("null_safe", [False, True])
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_keys_hot_on_both_sides_meet_once(spark, rows, skewed, how, null_safe):
+    names = [(1, f"a{i}") for i in range(20)] + [(2, f"b{i}") for i in range(9)]
+    names += [(None, f"n{i}") for i in range(11)] + [(4, "c"), (4, "d"), (60, "none")]
+    many = spark.createDataFrame(names, "id int, name string")
+    on = [("k", "id")]
+    plain = lookup_join(skewed, many, on, how, null_safe=null_safe)
+    salted = lookup_join(
+        skewed, many, on, how, null_safe=null_safe, broadcast_rows=0, rows_per_task=7
+    )
+    assert plain.columns == salted.columns
+    assert rows(salted) == rows(plain)
 
 
 def test_salts_spread_a_hot_key_and_its_copies(spark, skewed, lookup):
