@@ -111,7 +111,8 @@ def load_tables(
             else:
                 report.append((target, "ERROR", found, f"expected {expected} rows"))
         except Exception as e:  # noqa: BLE001 - the report is the handler
-            report.append((target, "ERROR", None, str(e).splitlines()[0]))
+            first_line = (str(e).splitlines() or [""])[0]
+            report.append((target, "ERROR", None, f"{type(e).__name__}: {first_line}"))
     return spark.createDataFrame(report, REPORT_SCHEMA)
 
 
