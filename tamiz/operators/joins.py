@@ -24,8 +24,8 @@ BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 # Rows of one key that one task may take before the key is split.
 ROWS_PER_TASK = 2_000_000
-# Bound of the broadcast table of split keys.
-MAX_SPLIT_KEYS = 10_000
+# Bound of the broadcast table of split keys; keys beyond it stay whole.
+MAX_SPLIT_KEYS = 100_000
 # Spread of rows whose key is NULL (they match nothing, so any place will do).
 NULL_SALTS = 65_536
 
