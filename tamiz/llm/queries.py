@@ -47,9 +47,9 @@ _STOPS = ", ".join(f"'{w}'" for w in STOP_WORDS)
 RULES_SQL = f"""
 WITH texts AS (
   SELECT doc_id, coalesce(text, '') AS body,
-         list_filter(string_split_regex(coalesce(text, ''), '[{SPACES}]+'), x -> x <> '') AS w,
+         list_filter(string_split_regex(coalesce(text, ''), '[{SPACES}]+'), lambda x: x <> '') AS w,
          list_filter(string_split(coalesce(text, ''), chr(10)),
-                     x -> regexp_matches(x, '[^{SPACES}]')) AS l
+                     lambda x: regexp_matches(x, '[^{SPACES}]')) AS l
   FROM documents),
 placed AS (
   SELECT doc_id, i, w[i] || ' ' || w[i+1] || ' ' || w[i+2] || ' ' || w[i+3] || ' ' || w[i+4] AS k
@@ -61,15 +61,15 @@ covered AS (
   FROM again, (SELECT unnest([0, 1, 2, 3, 4]) AS o) GROUP BY doc_id),
 counted AS (
   SELECT t.doc_id, len(w)::BIGINT AS n_words,
-         coalesce(list_sum(list_transform(w, x -> length(x))), 0)::BIGINT AS word_chars,
+         coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
          (length(body) - length(regexp_replace(body, '[{SYMBOLS}]', '', 'g')))::BIGINT AS n_symbols,
          (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
          coalesce(c.n, 0)::BIGINT AS n_repeat_words, len(l)::BIGINT AS n_lines,
-         len(list_filter(w, x -> lower(x) IN ({_STOPS})))::BIGINT AS n_stop_words,
-         len(list_filter(l, x -> regexp_matches(x, '(\\.\\.\\.|…)\\s*$')))::BIGINT
+         len(list_filter(w, lambda x: lower(x) IN ({_STOPS})))::BIGINT AS n_stop_words,
+         len(list_filter(l, lambda x: regexp_matches(x, '(\\.\\.\\.|…)\\s*$')))::BIGINT
            AS n_ellipsis_lines,
-         len(list_filter(l, x -> regexp_matches(x, '^\\s*[•*-]\\s')))::BIGINT AS n_bullet_lines,
-         len(list_filter(generate_series(1, len(w) - 1), i -> w[i] = w[i + 1]))::BIGINT
+         len(list_filter(l, lambda x: regexp_matches(x, '^\\s*[•*-]\\s')))::BIGINT AS n_bullet_lines,
+         len(list_filter(generate_series(1, len(w) - 1), lambda i: w[i] = w[i + 1]))::BIGINT
            AS n_adjacent_repeats
   FROM texts t LEFT JOIN covered c ON c.doc_id = t.doc_id),
 judged AS (
