@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .packing import pack_documents
 from .quality_rules import COUNTS, RULES, STOP_WORDS, SYMBOLS, quality_rules
 from .words import SPACES
 
@@ -85,3 +87,14 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     judged = quality_rules(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *COUNTS, "base_failed", F.col("kept"))
+
+
+@query("op3_best_fit_packing")
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in sequences of at most 2048 ids, one row per piece."""
+    packed = pack_documents(
+        table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), 2048, 0
+    )
+    return packed.select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
