@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .packing import pack_documents
 from .quality_rules import COUNTS, RULES, STOP_WORDS, SYMBOLS, quality_rules
+from .simhash import near_duplicates
 from .words import SPACES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,3 +99,13 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )
+
+
+@query("op4_simhash_near_dedup")
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    found = near_duplicates(table(spark, sf_dir, "documents"), size=3, max_bits=3)
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
