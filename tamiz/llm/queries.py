@@ -8,13 +8,21 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .fingerprints import containment, digest, edited_fingerprints
+from ..sources.staged import shared_folder
+from .huffman import read_store, write_store
+from .line_crf import LineField, held_out, score, train
 from .packing import pack_documents
 from .quality_rules import COUNTS, RULES, STOP_WORDS, SYMBOLS, quality_rules
 from .simhash import near_duplicates
+from .token_counts import token_counts
 from .words import SPACES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Documents that score less are judged to be of low quality.
+QUALITY = 0.3
+
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -109,3 +117,53 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+@query("op7_document_fingerprints")
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and its edited text, and how alike they are."""
+    found = edited_fingerprints(table(spark, sf_dir, "documents"))
+    own, edited = F.col("own_sketch"), F.col("edited_sketch")
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        digest(own).alias("fingerprint"), digest(edited).alias("edited_fingerprint"),
+        containment(own, edited).alias("near_edited"),
+        containment(own, F.col("next_sketch")).alias("near_next"),
+    )
+
+
+def train_quality(documents: DataFrame, labels: DataFrame) -> LineField:
+    """The quality field, from labelled rows that are not held out."""
+    marked = documents.select("doc_id", "text").join(labels.select("doc_id", "quality"), "doc_id")
+    return train(marked.filter(~held_out(F.col("doc_id"))))
+
+
+@query("op10_quality_classifier")
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by a field learned from the others' labels."""
+    documents = table(spark, sf_dir, "documents")
+    field = train_quality(documents, table(spark, sf_dir, "labels"))
+    scored = score(documents, field, {"doc_id": F.col("doc_id")})
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= QUALITY).cast("int").alias("predicted"),
+    )
+
+
+@query("op1_token_counts")
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, and whether it exceeds a context of 512."""
+    counted = token_counts(
+        table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json")
+    )
+    return counted.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
+@query("op5_token_id_store")
+def op5_token_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids written to a store and read back from it."""
+    folder = shared_folder(spark, "token-store")
+    write_store(
+        table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), folder, 2
+    )
+    return read_store(spark, folder)
