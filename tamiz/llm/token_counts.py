@@ -260,8 +260,12 @@ def token_counts(
     staged = stage(picked.mapInArrow(listed, schema), folder)
     docs = staged.filter("slice IS NULL").select("block", "key", "n_bytes", "ids", "counts")
     words = staged.filter("slice IS NOT NULL").select("block", "slice", "words", "sizes")
+
+    def count(group: pa.Table) -> pa.Table:
+        return _count_slice(group, tokenizer)
+
     pieces = words.groupBy("slice").applyInArrow(
-        partial(_count_slice, path=tokenizer), "block long, slice int, pieces binary"
+        count, "block long, slice int, pieces binary"
     )
     result = T.StructType(
         [T.StructField("key", kind), T.StructField("n_bytes", T.LongType()),
