@@ -291,3 +291,10 @@ def score(documents: DataFrame, field: LineField, carried: dict[str, Column],
 def held_out(key: Column, folds: int = 5) -> Column:
     """Whether a row is kept from training: CRC-32 of its key as text, modulo the folds."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % folds == 0, F.lit(False))
+
+
+def passing(documents: DataFrame, field: LineField, threshold: float, text: str = "text"
+            ) -> DataFrame:
+    """Rows that score ``threshold`` or more, with the columns they came with."""
+    whole = {"row": F.struct("*")}
+    return score(documents, field, whole, text).filter(F.col("score") >= threshold).select("row.*")

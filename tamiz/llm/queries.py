@@ -17,6 +17,7 @@ from .piece_sampling import decode_pieces, sample_pieces
 from .quality_rules import COUNTS, RULES, STOP_WORDS, SYMBOLS, quality_rules
 from .simhash import near_duplicates
 from .token_counts import token_counts
+from .warc import derivatives, responses
 from .words import SPACES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -187,3 +188,10 @@ def op2_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("kept_ids").alias("n_pieces"), "ids_crc32",
         F.col("kept_ids").alias("ids"), same.alias("lossless"),
     )
+
+
+@query("op6_warc_derivatives")
+def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of every page."""
+    derived = derivatives(responses(table(spark, sf_dir, "pages")))
+    return derived.drop("record")
