@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .fingerprints import containment, digest, edited_fingerprints
 from ..sources.staged import shared_folder
 from .huffman import read_store, write_store
+from .license_scan import license_scan
 from .line_crf import LineField, held_out, score, train
 from .packing import pack_documents
 from .piece_sampling import decode_pieces, sample_pieces
@@ -195,3 +196,27 @@ def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metadata and conversion records of every page."""
     derived = derivatives(responses(table(spark, sf_dir, "pages")))
     return derived.drop("record")
+
+
+def document_files(documents: DataFrame) -> DataFrame:
+    """Documents as files: a directory per thousand and ten, the first in each its LICENSE."""
+    k = F.col("doc_id")
+    path = F.concat_ws(
+        "/", F.lit("corpus"), F.floor(k / 1000).cast("string"),
+        F.when(k % 1000 == 0, F.lit("LICENSE")).otherwise(
+            F.concat_ws(
+                "/", F.floor(k / 10).cast("string"),
+                F.when(k % 10 == 0, F.lit("LICENSE")).otherwise(
+                    F.concat(k.cast("string"), F.lit(".txt"))
+                ),
+            )
+        ),
+    )
+    return documents.select("doc_id", path.alias("path"), "text")
+
+
+@query("op9_license_scan")
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence of every document, its own or that of a directory above."""
+    scanned = license_scan(document_files(table(spark, sf_dir, "documents")))
+    return scanned.select("doc_id", "path", "license", "score", "license_from", "inherited")
