@@ -8,6 +8,8 @@ Sketches of parts merge into the sketch of the whole.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -49,7 +51,7 @@ def with_sketch(
     """
     w, hashes = unused(rows.columns, "__words"), unused(rows.columns, "__hashes")
     split = rows.withColumn(w, words(F.col(f"`{text}`")))
-    hashed = split.withColumn(hashes, shingles(w, size))
+    hashed = split.withColumn(hashes, shingles(F.col(w), size))
     return hashed.withColumn(name, _scaled(F.col(hashes), fraction)).drop(w, hashes)
 
 
@@ -145,19 +147,34 @@ def edited_fingerprints(
         F.col(f"`{key}`").alias("k"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t")
     ).withColumn("h", F.xxhash64("t"))
     order = neighbours(docs.select("k", "h", F.length("t").alias("n")), ["k", "h"])
+
+    # Joins are on plain columns, NULL keys included, so that rows dealt out once
+    # by a document's name can be aggregated and joined where they are.
+    def name(key: str, hash_: str, prefix: str) -> list[Column]:
+        return [
+            F.coalesce(F.col(key).cast("string"), F.lit("")).alias(f"{prefix}_key"),
+            F.col(key).isNull().alias(f"{prefix}_null"), F.col(hash_).alias(f"{prefix}_hash"),
+        ]
+
+    def same(a: str, b: str) -> Column:
+        return reduce(
+            lambda x, y: x & y,
+            [F.col(f"{a}_{c}") == F.col(f"{b}_{c}") for c in ("key", "null", "hash")],
+        )
+
+    docs = docs.select("k", "t", *name("k", "h", "own"))
     before = order.select(
-        F.col("k").alias("k0"), F.col("h").alias("h0"), F.col("before.k").alias("to_k"),
-        F.col("before.h").alias("to_h"), F.floor(F.col("before.n") / 4).cast("int").alias("q"),
+        *name("k", "h", "is"), *name("before.k", "before.h", "to"),
+        F.floor(F.col("before.n") / 4).cast("int").alias("q"),
     )
-    same = F.col("k").eqNullSafe(F.col("k0")) & (F.col("h") == F.col("h0"))
-    sent = with_sketch(docs.join(before, same), "t", "next_sketch", size, fraction).select(
-        "to_k", "to_h", F.expr("substring(t, 1, q)").alias("head"), "next_sketch"
+    sent = with_sketch(
+        docs.join(before, same("own", "is")), "t", "next_sketch", size, fraction
+    ).select(
+        "to_key", "to_null", "to_hash", F.expr("substring(t, 1, q)").alias("head"), "next_sketch"
     )
     # Rows that repeat send the same twice.
-    sent = sent.dropDuplicates(["to_k", "to_h"])
-    pairs = docs.join(
-        sent, F.col("k").eqNullSafe(F.col("to_k")) & (F.col("h") == F.col("to_h"))
-    ).select(
+    sent = sent.dropDuplicates(["to_key", "to_null", "to_hash"])
+    pairs = docs.join(sent, same("own", "to")).select(
         "k", "t", F.length("t").alias("n"), "next_sketch",
         F.expr("concat(substring(t, 1, length(t) - cast(floor(length(t) / 4) AS INT)), head)")
         .alias("e"),

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .words import SPACE_CHARS, lines_with_words, unused, windows, without, words
+from .words import SPACE_CHARS, let, lines_with_words, unused, windows, without, words
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -67,23 +67,24 @@ def _covered(hashes: Column) -> Column:
     each position covers the words up to the next one, at most a whole window.
     """
     placed = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    n = F.size(hashes)
-    twins = F.zip_with(
-        F.slice(placed, F.lit(1), n - 1),
-        F.slice(placed, F.lit(2), n - 1),
-        lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])),
-    )
-    return F.array_sort(F.array_distinct(F.flatten(F.filter(twins, lambda t: t.isNotNull()))))
 
+    def repeated(p: Column) -> Column:
+        twins = F.zip_with(
+            F.slice(p, F.lit(1), F.size(p) - 1),
+            F.slice(p, F.lit(2), F.size(p) - 1),
+            lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])),
+        )
+        return F.array_distinct(F.flatten(F.filter(twins, lambda t: t.isNotNull())))
 
-def _span(positions: Column) -> Column:
-    n = F.size(positions)
-    steps = F.zip_with(
-        F.slice(positions, F.lit(1), n - 1),
-        F.slice(positions, F.lit(2), n - 1),
-        lambda a, b: F.least(F.lit(WINDOW), b - a),
-    )
-    return F.aggregate(steps, F.lit(WINDOW), lambda total, step: total + step)
+    def span(p: Column) -> Column:
+        steps = F.zip_with(
+            F.slice(p, F.lit(1), F.size(p) - 1),
+            F.slice(p, F.lit(2), F.size(p) - 1),
+            lambda a, b: F.least(F.lit(WINDOW), b - a),
+        )
+        return F.aggregate(steps, F.lit(WINDOW), lambda total, step: total + step)
+
+    return let(F.array_sort(let(placed, repeated)), span)
 
 
 def _fails(rule: Rule, count: dict[str, str]) -> Column:
@@ -127,19 +128,18 @@ def quality_rules(
     """
     taken = documents.columns
     names = {}
-    for c in ["words", "lines", "windows", "positions", *COUNTS]:
+    for c in ["words", "lines", "windows", "row", *COUNTS]:
         names[c] = unused([*taken, *names.values()], f"__{c}")
-    w, lines, hashes, at = (names[c] for c in ("words", "lines", "windows", "positions"))
+    w, lines, hashes, row = (names[c] for c in ("words", "lines", "windows", "row"))
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
 
     def number(c: Column) -> Column:
         return c.cast("long")
 
     split = documents.withColumns({w: words(body), lines: lines_with_words(body)})
-    hashed = split.withColumn(hashes, windows(w, WINDOW))
+    hashed = split.withColumn(hashes, windows(F.col(w), WINDOW))
     # Most documents repeat no window: only the others are sorted.
     some = F.size(F.array_distinct(F.col(hashes))) < F.size(F.col(hashes))
-    placed = hashed.withColumn(at, F.when(some, _covered(F.col(hashes))))
     stops = F.filter(F.col(w), lambda x: F.lower(x).isin(STOP_WORDS))
     n = F.size(F.col(w))
     twins = F.zip_with(
@@ -147,8 +147,11 @@ def quality_rules(
         F.slice(F.col(w), F.lit(2), F.greatest(n - 1, F.lit(0))),
         lambda a, b: a == b,
     )
-    counted = placed.withColumns(
+    counted = hashed.withColumns(
         {
+            # Numbered rows keep a filter on the verdict above the counts, which would
+            # else be computed once for the filter and again for the result.
+            row: F.monotonically_increasing_id(),
             names["n_words"]: number(n),
             names["word_chars"]: number(F.length(without(body, SPACE_CHARS))),
             names["n_symbols"]: number(F.length(body) - F.length(without(body, SYMBOLS))),
@@ -156,7 +159,9 @@ def quality_rules(
             names["n_dup_lines"]: number(
                 F.size(F.col(lines)) - F.size(F.array_distinct(F.col(lines)))
             ),
-            names["n_repeat_words"]: F.coalesce(number(_span(F.col(at))), F.lit(0)),
+            names["n_repeat_words"]: number(
+                F.when(some, _covered(F.col(hashes))).otherwise(F.lit(0))
+            ),
             names["n_stop_words"]: number(F.size(stops)),
             names["n_ellipsis_lines"]: number(
                 F.size(F.filter(F.col(lines), lambda x: x.rlike(r"(\.\.\.|…)\s*$")))
@@ -175,7 +180,7 @@ def quality_rules(
     )
     results = {
         **{c: F.col(names[c]) for c in COUNTS},
-        "base_failed": base_failed, "failed_rules": failed, "kept": ~rejected,
+        "base_failed": base_failed, "failed_rules": failed, "kept": ~rejected & (F.col(row) >= 0),
     }
     lower = {c.lower() for c in results}
     rest = [c for c in taken if c.lower() not in lower] if keep_columns else []

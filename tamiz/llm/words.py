@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,22 +29,37 @@ def without(text: Column, characters: str) -> Column:
     return F.translate(text, characters, "")
 
 
-def windows(words_column: str, size: int) -> Column:
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once.
+
+    A column that a function over an array's elements refers to may be replaced by
+    its expression when the optimizer moves a filter, and would then be computed
+    anew for every element. A bound value is not.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def windows(words: Column, size: int) -> Column:
     """64-bit hash of each run of ``size`` words, none if there are fewer."""
-    w = F.col(words_column)
-    starts = F.sequence(F.lit(1), F.size(w) - (size - 1))
-    return F.when(
-        F.size(w) >= size, F.transform(starts, lambda i: F.xxhash64(F.slice(w, i, size)))
-    ).otherwise(F.array().cast("array<bigint>"))
+    none = F.array().cast("array<bigint>")
+    return let(
+        words,
+        lambda w: F.when(
+            F.size(w) >= size,
+            F.transform(
+                F.sequence(F.lit(1), F.size(w) - (size - 1)),
+                lambda i: F.xxhash64(F.slice(w, i, size)),
+            ),
+        ).otherwise(none),
+    )
 
 
-def shingles(words_column: str, size: int) -> Column:
+def shingles(words: Column, size: int) -> Column:
     """As :func:`windows`, but fewer words count as one shingle; no word, none."""
-    w = F.col(words_column)
-    whole = F.when(F.size(w) > 0, F.array(F.xxhash64(w))).otherwise(
-        F.array().cast("array<bigint>")
+    few = F.size(words) < size
+    return F.when(few & (F.size(words) > 0), F.array(F.xxhash64(words))).otherwise(
+        windows(words, size)
     )
-    return F.when(F.size(w) >= size, windows(words_column, size)).otherwise(whole)
 
 
 def unused(columns: Sequence[str], stem: str) -> str:
