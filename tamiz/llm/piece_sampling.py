@@ -277,11 +277,11 @@ def _encoded(
 ) -> Iterator[pa.RecordBatch]:
     pieces = loaded(path, alpha)
     for batch in batches:
-        for part in rounds(batch, "text"):
-            flat, sizes = all_segments(part.column("text"))
+        for part in rounds(batch, "__text"):
+            flat, sizes = all_segments(part.column("__text"))
             coded = flat.dictionary_encode()
             place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            row = part.column("seed").to_numpy(zero_copy_only=False).view(np.uint64)
+            row = part.column("__seed").to_numpy(zero_copy_only=False).view(np.uint64)
             with np.errstate(over="ignore"):
                 seeds = _mixed(np.repeat(row, sizes) + (place.astype(np.uint64) + np.uint64(1))
                                * _MIX[2])
@@ -297,7 +297,7 @@ def _encoded(
             yield pa.RecordBatch.from_pydict(
                 {
                     **{
-                        c: part.column(c) for c in part.schema.names if c not in ("text", "seed")
+                        c: part.column(c) for c in part.schema.names if c not in ("__text", "__seed")
                     },
                     "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)),
                     "ids_crc32": pa.array(crc, pa.int64()),
@@ -322,10 +322,10 @@ def sample_pieces(
     """
     ship_package(documents.sparkSession)
     picked = documents.select(
-        *[c.alias(n) for n, c in carried.items()], F.col(f"`{text}`").alias("text"),
-        F.xxhash64(F.lit(seed), seed_by.cast("string")).alias("seed"),
+        *[c.alias(n) for n, c in carried.items()], F.col(f"`{text}`").alias("__text"),
+        F.xxhash64(F.lit(seed), seed_by.cast("string")).alias("__seed"),
     )
-    fields = [f for f in picked.schema.fields if f.name not in ("text", "seed")]
+    fields = [f for f in picked.schema.fields if f.name not in ("__text", "__seed")]
     schema = T.StructType(
         [*fields, T.StructField("ids", T.ArrayType(T.IntegerType())),
          T.StructField("ids_crc32", T.LongType())]
