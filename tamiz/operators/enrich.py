@@ -8,7 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import key_counts, key_pairs, lookup_join, measure
+from ..sources.staged import shared_folder, stage
+from .joins import (
+    BROADCAST_BYTES, BROADCAST_ROWS, key_counts, key_pairs, lookup_join, measure,
+)
 
 
 class FanOutError(ValueError):
@@ -57,8 +60,12 @@ def enrich(rows: DataFrame, *lookups: Lookup, **limits: int) -> DataFrame:
 
     One job up front measures all lookups: it enforces ``expect="one"`` and
     decides between broadcast and salted shuffle per lookup. A later lookup may
-    join on a column that an earlier one added.
+    join on a column that an earlier one added. Rows between two shuffled lookups are
+    staged, so that the count in front of the second does not join anew.
     """
+    limit = (
+        limits.get("broadcast_rows", BROADCAST_ROWS), limits.get("broadcast_bytes", BROADCAST_BYTES)
+    )
     steps = [lk.prepared() for lk in lookups]
     sizes = measure(
         [
@@ -72,7 +79,12 @@ def enrich(rows: DataFrame, *lookups: Lookup, **limits: int) -> DataFrame:
                 f"{lk.name}: up to {size.max_per_key} rows per key {lk.on!r}; "
                 "join on the full key or pass expect='many'"
             )
+    shuffled = False
     for lk, (frame, pairs), size in zip(lookups, steps, sizes):
+        if not size.fits(*limit):
+            if shuffled:
+                rows = stage(rows, shared_folder(rows.sparkSession, "enriched"))
+            shuffled = True
         if lk.fold_case:
             for i, (l, _) in enumerate(pairs):
                 rows = rows.withColumn(f"__l{i}", F.upper(F.trim(F.col(l))))

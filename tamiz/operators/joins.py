@@ -2,9 +2,10 @@
 
 A lookup is broadcast only after its size has been measured. Past the limit the
 join shuffles, and keys that fill more than one task on the left side are spread
-over salts. The salt depends on the row and its partition, never on the order of
-rows, so a task that is run again after a lost executor sends every row to the
-same place.
+over salts. Such keys are counted once and staged, so the rows in front of a join
+are read twice however many joins follow each other. The salt depends on the row
+and its partition, never on the order of rows, so a task that is run again after a
+lost executor sends every row to the same place.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.staged import shared_folder, stage
+
 KeyPairs = Sequence[tuple[str, str]]
 
 # Broadcast bound: a lookup within both limits fits in every executor.
@@ -24,10 +27,6 @@ BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 # Rows of one key that one task may take before the key is split.
 ROWS_PER_TASK = 2_000_000
-# Bound of the broadcast table of split keys; keys beyond it stay whole.
-MAX_SPLIT_KEYS = 100_000
-# Spread of rows whose key is NULL (they match nothing, so any place will do).
-NULL_SALTS = 65_536
 
 
 @dataclass(frozen=True)
@@ -110,17 +109,25 @@ def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
 
 
-def split_keys(counts: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFrame:
-    """Keys that would overload one task, with the number of salts each needs.
+@dataclass(frozen=True)
+class SplitKeys:
+    """Staged keys that would overload one task, with column ``__salts``."""
+
+    frame: DataFrame
+    size: LookupSize
+
+
+def split_keys(counts: DataFrame, keys: Sequence[str], rows_per_task: int) -> SplitKeys:
+    """Count once which keys need more than one task, and into how many each is split.
 
-    Bounded by ``MAX_SPLIT_KEYS`` rows, largest first.
+    The table has at most rows / ``rows_per_task`` keys. It is staged and measured, as
+    both sides of a join need it.
     """
-    return (
-        counts.filter(F.col("__n") > rows_per_task)
-        .orderBy(F.desc("__n"), *keys)
-        .limit(MAX_SPLIT_KEYS)
-        .select(*keys, F.ceil(F.col("__n") / rows_per_task).cast("int").alias("__salts"))
+    needed = counts.filter(F.col("__n") > rows_per_task).select(
+        *keys, F.ceil(F.col("__n") / rows_per_task).cast("int").alias("__salts")
     )
+    frame = stage(needed, shared_folder(counts.sparkSession, "split-keys"))
+    return SplitKeys(frame, measure([(frame, [])])[0])
 
 
 def _condition(pairs: KeyPairs, null_safe: bool) -> Column:
@@ -146,15 +153,21 @@ def _hide_keys(
 
 
 def _mark_split(
-    df: DataFrame, split: DataFrame, keys: Sequence[str], null_safe: bool, names: Sequence[str]
+    df: DataFrame, split: SplitKeys, keys: Sequence[str], null_safe: bool, names: Sequence[str]
 ) -> DataFrame:
-    """Add the salt counts of split keys; ``split`` is bounded, so it is broadcast."""
+    """Add the salt counts of split keys.
+
+    The table of split keys is broadcast if it was measured to fit. If not it is
+    joined by a shuffle, in which adaptive execution splits large keys.
+    """
+    if not split.size.rows:
+        return df.withColumns({n: F.lit(None).cast("int") for n in names})
     marks = [f"__hk{i}" for i in range(len(keys))]
-    own = split.columns[: len(keys)]
-    hot = split.select(*[F.col(k).alias(m) for k, m in zip(own, marks)], *names)
-    return df.join(F.broadcast(hot), _condition(list(zip(keys, marks)), null_safe), "left").drop(
-        *marks
-    )
+    own = split.frame.columns[: len(keys)]
+    hot = split.frame.select(*[F.col(k).alias(m) for k, m in zip(own, marks)], *names)
+    if split.size.fits():
+        hot = F.broadcast(hot)
+    return df.join(hot, _condition(list(zip(keys, marks)), null_safe), "left").drop(*marks)
 
 
 def _salts(count: str) -> Column:
@@ -162,7 +175,7 @@ def _salts(count: str) -> Column:
 
 
 def _grid_join(
-    left: DataFrame, right: DataFrame, pairs: KeyPairs, split: DataFrame,
+    left: DataFrame, right: DataFrame, pairs: KeyPairs, split: SplitKeys,
     null_safe: bool, rows_per_task: int,
 ) -> DataFrame:
     """Inner join on keys that are large on the right, and maybe on the left.
@@ -173,10 +186,11 @@ def _grid_join(
     """
     left_keys, right_keys = [l for l, _ in pairs], [r for _, r in pairs]
     left_salts = split_keys(key_counts(left, left_keys), left_keys, rows_per_task)
-    grid = _mark_split(
-        split.withColumnRenamed("__salts", "__right"), left_salts, right_keys, null_safe,
+    both = _mark_split(
+        split.frame.withColumnRenamed("__salts", "__right"), left_salts, right_keys, null_safe,
         ["__salts"],
     ).withColumnRenamed("__salts", "__left")
+    grid = SplitKeys(both, split.size)
     cell = F.coalesce(F.pmod(row_spread(left), F.col("__left")), F.lit(0)).cast("int")
     left_cells = _mark_split(left, grid, left_keys, null_safe, ["__left", "__right"]).select(
         *left.columns, cell.alias("__i"), F.explode(_salts("__right")).alias("__j")
@@ -202,7 +216,7 @@ def salted_join(
 ) -> DataFrame:
     """Shuffle join in which large left keys are spread over several tasks.
 
-    Right rows of a split key are repeated once per salt, at most
+    Counts the left keys in a job of its own. Right rows of a split key are repeated once per salt, at most
     ``left rows / rows_per_task`` extra copies over all keys of a unique lookup.
     ``largest_group`` is the most right rows one key has; if that is too many
     for one task as well, those keys are joined apart, over a grid.
@@ -213,7 +227,7 @@ def salted_join(
         right = right.select(*right_keys).distinct()
     elif largest_group > rows_per_task:
         split = split_keys(key_counts(right, right_keys), right_keys, rows_per_task)
-        keys, few = split.select(*right_keys), LookupSize(0, 0, 1)
+        keys, few = split.frame.select(*right_keys), split.size
         apart = _grid_join(
             lookup_join(left, keys, pairs, "left_semi", few, null_safe),
             right, pairs, split, null_safe, rows_per_task,
@@ -231,13 +245,15 @@ def salted_join(
     salt = F.coalesce(F.pmod(row, F.col("__salts")), F.lit(0))
     if not null_safe:
         any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in left_keys])
-        salt = F.when(any_null, F.pmod(row, F.lit(NULL_SALTS))).otherwise(salt)
+        # They match nothing, so any place will do.
+        salt = F.when(any_null, row).otherwise(salt)
     salted = _mark_split(left, split, left_keys, null_safe, ["__salts"]).select(
-        *left.columns, salt.cast("int").alias("__salt")
-    )
-    copies = _mark_split(right, split, right_keys, null_safe, ["__salts"]).select(
-        *right.columns, F.explode(_salts("__salts")).alias("__copy")
+        *left.columns, salt.cast("long").alias("__salt")
     )
+    copies = _mark_split(right, split, right_keys, null_safe, ["__salts"])
+    numbers = F.transform(_salts("__salts"), lambda n: n.cast("long"))
+    each = F.explode(numbers) if split.size.rows else F.lit(0).cast("long")
+    copies = copies.select(*right.columns, each.alias("__copy"))
     joined = salted.join(copies, _condition([*pairs, ("__salt", "__copy")], null_safe), how)
     return joined.drop("__salt", "__copy", *right_keys)
 

@@ -8,18 +8,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean, default_if_blank
+from ..sources.staged import shared_folder, stage
 from .joins import KeyPairs, key_pairs, lookup_join, measure
 
 On = str | Sequence[str | tuple[str, str]]
 
 
 def reference_keys(reference: DataFrame, pairs: KeyPairs) -> DataFrame:
-    """Distinct non-null keys of the reference side."""
+    """Distinct non-null keys of the reference side, staged: they are measured and joined."""
     keys = [r for _, r in pairs]
     # Plain null tests reach the file scan; dropna() would not be pushed down.
     for k in keys:
         reference = reference.filter(F.col(k).isNotNull())
-    return reference.select(*keys).distinct()
+    found = reference.select(*keys).distinct()
+    return stage(found, shared_folder(reference.sparkSession, "reference-keys"))
 
 
 def _holds(condition: Column) -> Column:

@@ -15,9 +15,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import (
-    BROADCAST_BYTES, BROADCAST_ROWS, NULL_SALTS, ROWS_PER_TASK, LookupSize, key_counts,
-    lookup_join, measure, row_spread, split_keys,
+    BROADCAST_BYTES, BROADCAST_ROWS, ROWS_PER_TASK, key_counts, lookup_join, measure, row_spread,
+    split_keys,
 )
+from ..sources.staged import shared_folder, stage
 from .refint import On, flag_reference
 
 NULL_KEY = "NULL_KEY"
@@ -112,14 +113,17 @@ def _count_copies(
 ) -> DataFrame:
     """Add ``__copies``: rows with the same key, or any number above 1 if more.
 
-    Keys are counted first, with a map-side combine on the key columns alone.
-    Where few repeat they are broadcast and no row moves. Otherwise rows are
+    Keys are counted first, with a map-side combine on the key columns alone, and
+    those that repeat are staged. Where few repeat they are broadcast and no row moves. Otherwise rows are
     counted in windows; keys too large for one task are known to repeat, so
     their rows need no count and are spread over salts instead, like rows whose
     NULL key decides the status.
     """
     keys, null_safe = list(rule.key), rule.nulls == "group"
-    repeated = key_counts(df, keys).filter(F.col("__n") > 1)
+    repeated = stage(
+        key_counts(df, keys).filter(F.col("__n") > 1),
+        shared_folder(df.sparkSession, "repeated-keys"),
+    )
     size = measure([(repeated, [])], largest="__n")[0]
     if size.fits(broadcast_rows, broadcast_bytes):
         found = lookup_join(df, repeated, keys, "left", size=size, null_safe=null_safe)
@@ -128,14 +132,13 @@ def _count_copies(
     salt, hot = F.lit(0), F.lit(False)
     rows, spread = df, row_spread(df)
     if size.max_per_key > rows_per_task:
-        # Bounded by MAX_SPLIT_KEYS rows, so it always fits.
         split = split_keys(repeated, keys, rows_per_task)
-        rows = lookup_join(df, split, keys, "left", size=LookupSize(0, 0, 1), null_safe=null_safe)
+        rows = lookup_join(df, split.frame, keys, "left", size=split.size, null_safe=null_safe)
         hot = F.col("__salts").isNotNull()
         salt = F.when(hot, F.pmod(spread, F.col("__salts"))).otherwise(salt)
     if not null_safe:
         any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-        salt = F.when(any_null, F.pmod(spread, F.lit(NULL_SALTS))).otherwise(salt)
+        salt = F.when(any_null, spread).otherwise(salt)
     rows = rows.select(*df.columns, hot.alias("__hot"), salt.alias("__salt"))
     in_window = F.count(F.lit(1)).over(Window.partitionBy(*keys, "__salt"))
     copies = F.when(F.col("__hot"), F.lit(2)).otherwise(in_window)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tamiz.operators.cleaning import CleanSpec, Reference, clean_table
 from tamiz.operators.dedup import dedup, distinct_on
 from tamiz.operators.enrich import FanOutError, Lookup, duplicate_keys, enrich, join_audit
-from tamiz.operators.joins import lookup_join, measure, salted_join
+from tamiz.operators.joins import key_counts, split_keys, lookup_join, measure, salted_join
 
 
 def test_dedup_is_idempotent_and_ignores_partitioning(spark, rows):
@@ -163,3 +163,33 @@ def test_audits(spark, rows, skewed, lookup):
     assert audit["rows"] == 300 and audit["joined_rows"] == joined.count()
     assert audit["matched"] + audit["unmatched"] == 300
     assert rows(duplicate_keys(twice, ["id"])) == [(1, 2)]
+
+
+def test_shuffled_lookups_read_the_fact_a_bounded_number_of_times(spark, rows, tmp_path):
+    """Four lookups past the broadcast limit: every step reads what it joins once more."""
+    base = f"file://{tmp_path}"
+    spark.range(400).selectExpr(
+        "id", *[f"cast(if(id % 3 = 0, 1, id % {k + 20}) as int) k{k}" for k in range(4)]
+    ).write.parquet(f"{base}/fact")
+    fact = spark.read.parquet(f"{base}/fact")
+    names = spark.range(30).selectExpr("cast(id as int) id", "concat('n', id) name")
+    lookups = [Lookup(names, [(f"k{k}", "id")], {"name": f"name{k}"}) for k in range(4)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = enrich(fact, *lookups, broadcast_rows=0, rows_per_task=50)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert rows(found) == rows(enrich(fact, *lookups))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The last step joins staged rows, keys and names: one relation of each at most twice.
+    assert plan.count("Relation [") <= 4
+
+
+def test_every_hot_key_is_split(spark, rows):
+    """More hot keys than any table of fixed size: all are split, none is lost."""
+    facts = spark.range(6_000).selectExpr("cast(id % 2000 as int) k", "id")
+    names = spark.range(2_000).selectExpr("cast(id as int) id2", "concat('n', id) name")
+    split = split_keys(key_counts(facts, ["k"]), ["k"], 2)
+    assert split.size.rows == split.frame.count() == 2_000
+    joined = salted_join(facts, names, [("k", "id2")], rows_per_task=2)
+    assert joined.filter("name = concat('n', k)").count() == 6_000
