@@ -1,12 +1,16 @@
 """The academic warehouse as a Spark job.
 
     spark-submit jobs/academic.py build --input DIR --staging DIR [--compat]
-    spark-submit jobs/academic.py dims  --staging DIR --warehouse DIR
+    spark-submit jobs/academic.py dims  --staging DIR --warehouse DIR --province-map CSV
     spark-submit jobs/academic.py load  --staging DIR --jdbc-url URL --jdbc-driver CLASS
+        [--targets staged=target ...]
 
 ``build`` profiles, validates, cleans, integrates and stages; ``dims`` derives the
 dimensions; ``load`` copies staged tables to a database, with user and password
-from DW_USER and DW_PASSWORD.
+from DW_USER and DW_PASSWORD. The province map has a header and the columns
+strCodProv (province code of a city) and cod_provincia (census code): without it
+students have no home place, as the two sets of codes share none. The package is
+sent to the executors, so the job runs from any folder.
 """
 
 from __future__ import annotations
@@ -19,7 +23,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from tamiz.operators.dims import run_time  # noqa: E402
 from tamiz.plans import academic, warehouse  # noqa: E402
+from tamiz.shipping import ship_package  # noqa: E402
+from tamiz.sources.delimited import declare, read_delimited  # noqa: E402
 from tamiz.sources.staged import (  # noqa: E402
     jdbc_properties, jdbc_writer, load_tables, read_staged, read_tables,
 )
@@ -30,9 +37,10 @@ TABLES = [
 ]
 
 
-def show(title: str, df: DataFrame, rows: int = 1000) -> None:
+def show(title: str, df: DataFrame) -> None:
+    """Print a report; reports have a few rows per table, so all of them are shown."""
     print(f"== {title}")
-    df.show(rows, truncate=False)
+    df.show(df.count(), truncate=False)
 
 
 def build(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -49,17 +57,23 @@ def build(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def dims(spark: SparkSession, args: argparse.Namespace) -> None:
     staged = {n: read_staged(spark, f"{args.staging}/{n}", args.format) for n in TABLES}
+    mapping = None if not args.province_map else read_delimited(
+        spark, args.province_map, declare("strCodProv", "cod_provincia"), ","
+    ).select("strCodProv", "cod_provincia")
     done = warehouse.build_warehouse(
-        staged, args.warehouse, args.format, args.run_ts, compat=args.compat
+        staged, args.warehouse, args.format, args.run_ts or run_time(),
+        province_map=mapping, compat=args.compat,
     )
     for name, df in done.items():
         print(f"{name}: {df.count()} rows")
 
 
 def load(spark: SparkSession, args: argparse.Namespace) -> None:
-    names = args.tables or TABLES
+    targets = dict(t.split("=", 1) for t in args.targets)
+    names = args.tables or list(targets) or TABLES
     write = jdbc_writer(args.jdbc_url, jdbc_properties(args.jdbc_driver), args.schema)
-    show("load", load_tables(spark, read_tables(spark, args.staging, names, args.format), write))
+    sources = read_tables(spark, args.staging, names, args.format)
+    show("load", load_tables(spark, sources, write, {n: targets.get(n, n) for n in names}))
 
 
 def parse(argv: list[str] | None) -> argparse.Namespace:
@@ -76,17 +90,21 @@ def parse(argv: list[str] | None) -> argparse.Namespace:
         if name == "dims":
             p.add_argument("--warehouse", required=True)
             p.add_argument("--run-ts")
+            p.add_argument("--province-map")
         if name == "load":
             p.add_argument("--jdbc-url", required=True)
             p.add_argument("--jdbc-driver", required=True)
             p.add_argument("--schema", default="dsa")
+            p.add_argument("--targets", nargs="*", default=[], metavar="STAGED=TARGET")
             p.add_argument("tables", nargs="*")
     return parser.parse_args(argv)
 
 
 def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
-    args.run(SparkSession.builder.appName("academic").getOrCreate(), args)
+    spark = SparkSession.builder.appName("academic").getOrCreate()
+    ship_package(spark)
+    args.run(spark, args)
 
 
 if __name__ == "__main__":

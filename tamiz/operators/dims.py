@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,8 +14,17 @@ from .joins import lookup_join
 
 
 def load_stamp(run_ts: str | None) -> Column:
-    """Load time: a given time for repeatable loads, else the current one."""
-    return F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp_ntz")
+    """Load time: a given time for repeatable loads, else the current one.
+
+    The type is the same either way. Pass :func:`run_time` to stamp all tables of a
+    run alike.
+    """
+    return (F.current_timestamp() if run_ts is None else F.lit(run_ts)).cast("timestamp_ntz")
+
+
+def run_time() -> str:
+    """The time now, in UTC, as text for ``run_ts``."""
+    return datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
 
 
 def rename_and_stamp(
@@ -30,11 +40,18 @@ def rename_and_stamp(
     )
 
 
-def with_unknown_member(dim: DataFrame, values: Mapping[str, object]) -> DataFrame:
+def with_unknown_member(
+    dim: DataFrame, values: Mapping[str, object], key: str | None = None
+) -> DataFrame:
     """Add the row that facts without a match point to.
 
-    Columns not in ``values`` are NULL; types follow the dimension.
+    Columns not in ``values`` are NULL; types follow the dimension. With ``key`` the
+    result fails to compute if a row of the dimension has the unknown row's key.
     """
+    if key is not None:
+        taken = F.raise_error(F.lit(f"{key} {values[key]} is the unknown member's"))
+        checked = F.when(F.col(key) == F.lit(values[key]), taken.cast(dim.schema[key].dataType))
+        dim = dim.withColumn(key, checked.otherwise(F.col(key)))
     unknown = dim.sparkSession.range(1).select(
         *[F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in dim.schema.fields]
     )
@@ -128,13 +145,19 @@ def upsert(
     return kept.unionByName(latest)
 
 
-def merge_into(updates: DataFrame, table: str, key: Sequence[str]) -> None:
-    """The same upsert as a MERGE, for table formats that support it."""
+def merge_into(
+    updates: DataFrame, table: str, key: Sequence[str], order: Sequence[Column | str] = ()
+) -> None:
+    """The same upsert as a MERGE, for table formats that support it.
+
+    Updates of one key are reduced to the first by ``order``, and NULL keys are equal,
+    as in :func:`upsert`.
+    """
     condition = F.lit(True)
     for k in key:
-        condition = condition & (F.col(f"{table}.{k}") == F.col(f"updates.{k}"))
+        condition = condition & F.col(f"{table}.{k}").eqNullSafe(F.col(f"updates.{k}"))
     (
-        updates.alias("updates")
+        dedup(updates, key, order).alias("updates")
         .mergeInto(table, condition)
         .whenMatched().updateAll()
         .whenNotMatched().insertAll()

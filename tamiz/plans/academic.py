@@ -28,7 +28,7 @@ from ..operators.rules import (
     summarize_rules,
 )
 from ..sources.delimited import read_delimited, declare
-from ..sources.spreadsheet import read_ragged, read_workbook
+from ..sources.spreadsheet import MISSING_TEXTS, read_ragged, read_workbook
 from ..sources.staged import stage_tables
 from . import values as V
 
@@ -91,7 +91,7 @@ def read_sources(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     for name, (file, sep, schema) in SOURCES.items():
         path = f"{base}/{file}"
         if sep is None:
-            out[name] = read_workbook(spark, path, schema)
+            out[name] = read_workbook(spark, path, schema, missing=MISSING_TEXTS)
         else:
             out[name] = read_delimited(spark, path, schema, sep).select(*schema.fieldNames())
     return out
@@ -485,26 +485,37 @@ def graduate_final(
 ) -> DataFrame:
     """Degree facts with program hierarchy, title and project.
 
-    Titles are unique per program and joined on both columns; ``compat`` joins
-    on the title alone.
+    Titles are unique per program and joined on both columns. Program codes of old
+    titles match no program of today: where the pair is not found, a title code that
+    has one name gives that name. ``compat`` joins on the title code alone.
     """
-    title_on = [("strCodTitulo", "COD_TITULO")]
-    if not compat:
-        title_on.append(("COD_CARRERA_PROGRAMA", "COD_CARRERA_PROGRAMA"))
+    by_code = ("strCodTitulo", "COD_TITULO")
+    if compat:
+        lookups = [Lookup(titles, [by_code], {"strNombre": "__title"}, expect="many", name="title")]
+        title = F.col("__title")
+    else:
+        sole = titles.groupBy("COD_TITULO").agg(
+            F.min("strNombre").alias("name"), F.count_distinct("strNombre").alias("names")
+        ).filter("names = 1")
+        lookups = [
+            Lookup(
+                titles, [by_code, ("COD_CARRERA_PROGRAMA", "COD_CARRERA_PROGRAMA")],
+                {"strNombre": "__title"}, name="title",
+            ),
+            Lookup(sole, [by_code], {"name": "__sole"}, name="title by code"),
+        ]
+        title = F.coalesce("__title", "__sole")
     joined = enrich(
         graduates,
         Lookup(
             programs, [("COD_CARRERA_PROGRAMA", "cod_carrera")],
             ["carrera", "escuela", "facultad"], name="program",
         ),
-        Lookup(
-            titles, title_on, {"strNombre": "nombre_titulo"},
-            expect="many" if compat else "one", name="title",
-        ),
+        *lookups,
         Lookup(
             projects, "intCodProyecto", {"txtTema": "tema_proyecto"}, name="project",
         ),
-    )
+    ).withColumn("nombre_titulo", title)
     names = {
         "estudiante": "cod_estudiante", "COD_CARRERA_PROGRAMA": "cod_carrera",
         "carrera": "carrera", "escuela": "escuela", "facultad": "facultad",

@@ -80,15 +80,3 @@ def case_map(expr: str, mapping: dict[str, str], otherwise: str) -> str:
     whens = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items())
     return f"CASE {expr} {whens} ELSE {otherwise} END"
 
-
-def star_sql(
-    rows: str, lookups: dict[str, tuple[str, str]], output: dict[str, str], how: str = "LEFT"
-) -> str:
-    """SQL of an enrichment chain over ``rows`` (called ``f`` in expressions).
-
-    ``lookups`` maps a name to (table, condition), ``output`` a column to its
-    expression.
-    """
-    columns = ",\n       ".join(f"{e} AS {c}" for c, e in output.items())
-    joins = "".join(f"\n{how} JOIN {t} {n} ON {on}" for n, (t, on) in lookups.items())
-    return f"SELECT {columns}\nFROM {rows} f{joins}"

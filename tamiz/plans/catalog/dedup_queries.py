@@ -9,13 +9,13 @@ from ...operators.cleaning import CleanSpec, clean_table
 from ...operators.dedup import dedup, distinct_on
 from ...operators.profile import distribution, profile_tables, sample_rows
 from ...operators.report import quality_report, row_counts
-from .base import query, survivor, table
+from .base import TABLES, query, survivor, table
 
 LINEITEM = [
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
     "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
 ]
-PROFILED = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "labels"]
+PROFILED = TABLES
 
 
 @query("dedup_by_key", survivor("SELECT * FROM lineitem", ["l_orderkey", "l_linenumber"], LINEITEM))
@@ -107,6 +107,12 @@ _PROFILE_COLUMNS = {
     ],
     "lineitem": LINEITEM,
     "labels": ["doc_id", "quality", "toxic"],
+    "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
+    "documents": ["doc_id", "text", "lang", "source", "n_chars"],
+    "embeddings": ["vec_id", "embedding", "label"],
+    "pages": ["page_id", "url", "html"],
+    "benchmark": ["item_id", "text"],
+    "conversations": ["conv_id", "turn", "role", "text"],
 }
 
 

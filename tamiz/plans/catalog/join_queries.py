@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ...operators.enrich import Lookup, duplicate_keys, enrich, join_audit
@@ -118,19 +118,17 @@ def enrich_folded_key(s: SparkSession, d: str) -> DataFrame:
         ),
     )
 
-
 @query(
     "enrich_fanout",
-    """SELECT s_suppkey, s_nationkey, c_custkey FROM supplier
-       LEFT JOIN (SELECT c_custkey, c_nationkey FROM customer WHERE c_acctbal < 0) ON s_nationkey = c_nationkey""",
+    """SELECT c_custkey, c_mktsegment, o_orderkey FROM customer LEFT JOIN orders ON c_custkey = o_custkey""",
 )
 def enrich_fanout(s: SparkSession, d: str) -> DataFrame:
-    debtors = table(s, d, "customer").filter("c_acctbal < 0")
+    """A row per order of every customer; customers without an order stay."""
     return enrich(
-        table(s, d, "supplier").select("s_suppkey", "s_nationkey"),
+        table(s, d, "customer").select("c_custkey", "c_mktsegment"),
         Lookup(
-            debtors, [("s_nationkey", "c_nationkey")], ["c_custkey"], expect="many",
-            name="debtors",
+            table(s, d, "orders"), [("c_custkey", "o_custkey")], ["o_orderkey"], expect="many",
+            name="orders",
         ),
     )
 
@@ -206,25 +204,33 @@ def salted_left_join(s: SparkSession, d: str) -> DataFrame:
     return salted_join(lines, suppliers, [("k", "s_suppkey")], rows_per_task=5_000).drop("k")
 
 
+_HOT_NATION = 3
+
+
 @query(
     "salted_fanout_join",
-    """SELECT l_suppkey, k, c_custkey FROM (
-         SELECT l_suppkey, CASE WHEN l_linenumber <= 3 THEN 3 ELSE l_suppkey % 25 END AS k
-         FROM lineitem WHERE l_quantity = 1)
-       LEFT JOIN (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 3 ELSE c_nationkey END AS n
-                  FROM customer WHERE c_acctbal < 0) ON k = n""",
+    f"""SELECT k, count(*) AS pairs, CAST(sum(c_custkey) AS BIGINT) AS customers,
+               CAST(sum(s_suppkey) AS BIGINT) AS suppliers
+        FROM (SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN {_HOT_NATION} ELSE s_nationkey END AS k
+              FROM supplier)
+        LEFT JOIN (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN {_HOT_NATION} ELSE c_nationkey END AS n
+                   FROM customer) ON k = n
+        GROUP BY k""",
 )
 def salted_fanout_join(s: SparkSession, d: str) -> DataFrame:
-    """Row-multiplying shuffle join in which one key is hot on both sides."""
-    line = F.col("l_linenumber")
-    lines = table(s, d, "lineitem").filter("l_quantity = 1").select(
-        "l_suppkey", F.when(line <= 3, F.lit(3)).otherwise(F.col("l_suppkey") % 25).alias("k")
+    """Row-multiplying shuffle join in which one key is hot on both sides, summed up by key."""
+    def hot(key: str, nation: str) -> Column:
+        return F.when(F.col(key) % 3 == 0, F.lit(_HOT_NATION)).otherwise(F.col(nation))
+
+    suppliers = table(s, d, "supplier").select("s_suppkey", hot("s_suppkey", "s_nationkey").alias("k"))
+    customers = table(s, d, "customer").select("c_custkey", hot("c_custkey", "c_nationkey").alias("n"))
+    joined = lookup_join(
+        suppliers, customers, [("k", "n")], broadcast_rows=0, rows_per_task=1_000
     )
-    debtors = table(s, d, "customer").filter("c_acctbal < 0").select(
-        "c_custkey",
-        F.when(F.col("c_custkey") % 3 == 0, F.lit(3)).otherwise(F.col("c_nationkey")).alias("n"),
+    return joined.groupBy("k").agg(
+        F.count(F.lit(1)).alias("pairs"), F.sum("c_custkey").alias("customers"),
+        F.sum("s_suppkey").alias("suppliers"),
     )
-    return lookup_join(lines, debtors, [("k", "n")], broadcast_rows=0, rows_per_task=20)
 
 
 # --- references -------------------------------------------------------------

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from ...operators.ragged import clean_rows
 from ...sources.delimited import CORRUPT, declare, read_delimited
-from ...sources.spreadsheet import typed_table, workbook_rows
+from ...sources.spreadsheet import (
+    MISSING_TEXTS, read_ragged, read_workbook, typed_table, workbook_rows,
+)
 from ...sources.staged import (
     load_tables, path_writer, read_tables, register_views, shared_folder, stage, stage_tables,
 )
@@ -181,6 +183,58 @@ def xlsx_scan(s: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _as_files(s: SparkSession, made: DataFrame) -> str:
+    """Write workbooks held in a frame as .xlsx files of a shared folder.
+
+    They are given names by the text writer's tasks and hold bytes, so they go
+    through Hadoop's file system, one workbook at a time.
+    """
+    folder = shared_folder(s, "workbooks")
+    hadoop = s.sparkContext._jvm.org.apache.hadoop.fs
+    conf = s.sparkContext._jsc.hadoopConfiguration()
+    for i, row in enumerate(made.toLocalIterator()):
+        path = hadoop.Path(f"{folder}/book-{i:06d}.xlsx")
+        out = path.getFileSystem(conf).create(path)
+        out.write(bytearray(row["content"]))
+        out.close()
+    return folder
+
+
+@query(
+    "xlsx_files",
+    """SELECT s_suppkey, CASE WHEN s_suppkey % 4 <> 0 THEN s_name END AS s_name,
+              1000000000000000 * (s_suppkey + 1) AS big FROM supplier""",
+)
+def xlsx_files(s: SparkSession, d: str) -> DataFrame:
+    """Workbook files with missing-value texts and whole numbers stored as floats."""
+    rows = table(s, d, "supplier").select(
+        F.when(F.col("s_suppkey") % 4 != 0, F.col("s_name")).otherwise(F.lit("N/A")).alias("s_name"),
+        "s_suppkey", (F.lit(1e15) * (F.col("s_suppkey") + 1)).alias("big"),
+    )
+    folder = _as_files(s, _workbooks(rows, rows.columns, header=True))
+    schema = declare(s_suppkey="long", s_name="string", big="long")
+    return read_workbook(s, folder, schema, missing=MISSING_TEXTS)
+
+
+@query(
+    "xlsx_ragged_files",
+    """SELECT n_nationkey || '|' || n_name || CASE WHEN n_nationkey % 3 = 0 THEN '' ELSE '|' || n_regionkey END AS line
+       FROM nation""",
+)
+def xlsx_ragged_files(s: SparkSession, d: str) -> DataFrame:
+    """Files of rows without a header, cells missing here and there."""
+    cells = F.array(
+        F.col("n_nationkey").cast("string"), F.lit(" "), F.concat(F.lit(" "), F.col("n_name")),
+        F.when(F.col("n_nationkey") % 3 != 0, F.col("n_regionkey").cast("string")),
+    )
+    folder = _as_files(
+        s, _workbooks(table(s, d, "nation").select(cells.alias("cells")), ["cells"], False)
+    )
+    return clean_rows(read_ragged(s, folder), "cells").select(
+        F.array_join("cells", "|").alias("line")
+    )
+
+
 @query(
     "xlsx_ragged",
     """SELECT c_custkey || '|' || c_name || CASE WHEN c_custkey % 3 = 0 THEN '' ELSE '|' || c_nationkey END AS line

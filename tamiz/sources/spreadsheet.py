@@ -13,14 +13,17 @@ import re
 import zipfile
 from collections.abc import Iterator, Sequence
 from datetime import datetime, timedelta
+from decimal import Decimal
 from itertools import islice
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..shipping import ship_package
+
 ROWS_SCHEMA = "path string, row_no int, cells array<string>"
 _BATCH_ROWS = 2000
 # Fixed values of the file format: namespaces and built-in date formats.
@@ -78,11 +81,13 @@ def _date_styles(z: zipfile.ZipFile) -> set[int]:
 
 
 def _number(text: str, is_date: bool) -> str:
-    value = float(text)
     if is_date:
-        moment = datetime(1899, 12, 30) + timedelta(seconds=round(value * 86400))
+        moment = datetime(1899, 12, 30) + timedelta(seconds=round(float(text) * 86400))
         return moment.strftime("%Y-%m-%d %H:%M:%S")
-    return str(int(value)) if value.is_integer() and abs(value) < 1e15 else text
+    value = Decimal(text)
+    # Whole numbers that a long can hold are written out, whatever form they are stored in.
+    whole = value == value.to_integral_value() and abs(value) < 1 << 63
+    return str(int(value)) if whole else text
 
 
 def _cell(c: ElementTree.Element, strings: list[str], dates: set[int]) -> str | None:
@@ -123,7 +128,8 @@ def sheet_rows(content: bytes) -> Iterator[tuple[int, list[str | None]]]:
 
 
 def _aligned(
-    rows: Iterator[tuple[int, list[str | None]]], names: Sequence[str]
+    rows: Iterator[tuple[int, list[str | None]]], names: Sequence[str], optional: Sequence[str],
+    path: str,
 ) -> Iterator[tuple[int, list[str | None]]]:
     """Cells in the order of ``names``, found through the first filled row."""
     at: list[int | None] | None = None
@@ -133,25 +139,32 @@ def _aligned(
         if at is None:
             where = {(c or "").strip(): i for i, c in enumerate(cells)}
             at = [where.get(n) for n in names]
+            absent = [n for n in names if n not in where and n not in optional]
+            if absent:
+                raise ValueError(f"{path} has no column {', '.join(absent)}")
         else:
             yield number, [cells[i] if i is not None and i < len(cells) else None for i in at]
 
 
-def workbook_rows(files: DataFrame, header: Sequence[str] | None = None) -> DataFrame:
+def workbook_rows(
+    files: DataFrame, header: Sequence[str] | None = None, optional: Sequence[str] = ()
+) -> DataFrame:
     """``(path, row_no, cells)`` of the first sheet of every workbook.
 
     ``files`` has columns ``path`` and ``content``, as ``binaryFile`` gives them.
     With ``header`` the first filled row names the columns and ``cells`` holds
-    the named ones in that order; a column the sheet lacks is NULL. Finding them
-    while parsing saves a join of all rows with their header row.
+    the named ones in that order. A column the sheet lacks is an error, or NULL if
+    it is ``optional``. Finding them while parsing saves a join of all rows with
+    their header row.
     """
+    ship_package(files.sparkSession)
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 rows = sheet_rows(content)
                 if header is not None:
-                    rows = _aligned(rows, header)
+                    rows = _aligned(rows, header, optional, path)
                 while chunk := list(islice(rows, _BATCH_ROWS)):
                     yield pd.DataFrame(
                         [(path, number, cells) for number, cells in chunk],
@@ -171,17 +184,36 @@ def read_ragged(spark: SparkSession, path: str) -> DataFrame:
     return workbook_rows(workbook_files(spark, path))
 
 
-def typed_table(files: DataFrame, schema: T.StructType) -> DataFrame:
-    """Headed workbooks as one table; values that do not fit their type are NULL."""
-    rows = workbook_rows(files, schema.fieldNames())
+# Texts that common spreadsheet readers take for a missing value.
+MISSING_TEXTS = (
+    "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
+
+def typed_table(
+    files: DataFrame, schema: T.StructType, optional: Sequence[str] = (),
+    missing: Sequence[str] = (),
+) -> DataFrame:
+    """Headed workbooks as one table; values that do not fit their type are NULL.
+
+    Cells whose text is one of ``missing`` (for instance :data:`MISSING_TEXTS`) are
+    NULL as well. Columns that are not ``optional`` must be in every sheet.
+    """
+    rows = workbook_rows(files, schema.fieldNames(), optional)
+
+    def value(i: int) -> Column:
+        cell = F.get("cells", F.lit(i))
+        return F.when(~cell.isin(list(missing)), cell) if missing else cell
+
     return rows.select(
-        *[
-            F.get("cells", F.lit(i)).try_cast(f.dataType).alias(f.name)
-            for i, f in enumerate(schema.fields)
-        ]
+        *[value(i).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)]
     )
 
 
-def read_workbook(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_workbook(
+    spark: SparkSession, path: str, schema: T.StructType, optional: Sequence[str] = (),
+    missing: Sequence[str] = (),
+) -> DataFrame:
     """Headed workbooks under ``path`` as one typed table."""
-    return typed_table(workbook_files(spark, path), schema)
+    return typed_table(workbook_files(spark, path), schema, optional, missing)

@@ -1,5 +1,7 @@
 """The academic plan from files to report, on a small synthetic university."""
 
+import os
+import subprocess
 import sys
 from datetime import date
 from pathlib import Path
@@ -275,3 +277,45 @@ def test_job_loads_what_it_can(base, tables, monkeypatch, capsys):
     )
     out = capsys.readouterr().out
     assert "|sexo" in out and "OK" in out and "ERROR" in out
+
+
+def test_job_runs_from_another_folder_and_finds_home_places(spark, base, tmp_path):
+    job = str(Path(__file__).resolve().parents[1] / "jobs" / "academic.py")
+    stage, target = f"{tmp_path}/stage", f"{tmp_path}/edw"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    settings = "--conf spark.ui.enabled=false --conf spark.sql.shuffle.partitions=4"
+
+    def run(*args):
+        done = subprocess.run(
+            [sys.executable, job, *args], cwd=tmp_path, capture_output=True, text=True,
+            env=env | {"PYSPARK_SUBMIT_ARGS": f"--master local[4] {settings} pyspark-shell"},
+        )
+        assert done.returncode == 0, done.stderr[-2000:]
+
+    run("build", "--input", str(base), "--staging", stage)
+    cities = spark.read.parquet(f"{stage}/ciudades").select("strCodProv").distinct().collect()
+    census = spark.read.parquet(f"{stage}/dpa_provincias").agg({"cod_dpa": "min"}).first()[0]
+    lines = [f"{r['strCodProv']},{census}" for r in cities if r["strCodProv"]]
+    (tmp_path / "map.csv").write_text("\n".join(["strCodProv,cod_provincia", *lines]) + "\n")
+    run("dims", "--staging", stage, "--warehouse", target, "--province-map", f"{tmp_path}/map.csv")
+    students = spark.read.parquet(f"{target}/d_estudiante")
+    assert students.filter("id_ubicgeografica > 0").count() > 0
+    assert students.schema["etl_fecha_carga"].dataType.simpleString() == "timestamp_ntz"
+
+
+def test_titles_of_programs_that_are_gone(spark, rows):
+    degrees = spark.createDataFrame(
+        [(1, "P1", "T1"), (2, "OLD", "T1"), (3, "OLD", "T2"), (4, "P2", "T2")],
+        "estudiante int, COD_CARRERA_PROGRAMA string, strCodTitulo string",
+    ).selectExpr("*", "date'2001-01-01' dtFechaGrado", "1 intCodProyecto")
+    titles = spark.createDataFrame(
+        [("T1", "P1", "one"), ("T2", "P1", "two"), ("T2", "P2", "zwei")],
+        "COD_TITULO string, COD_CARRERA_PROGRAMA string, strNombre string",
+    )
+    programs = spark.createDataFrame(
+        [("P1", "a", "b", "c")], "cod_carrera string, carrera string, escuela string, facultad string"
+    )
+    projects = spark.createDataFrame([(1, "x")], "intCodProyecto int, txtTema string")
+    got = A.graduate_final(degrees, programs, titles, projects)
+    assert rows(got, "cod_estudiante", "nombre_titulo") == [
+        (1, "one"), (2, "one"), (3, None), (4, "zwei")]

@@ -32,17 +32,10 @@ def test_flagship(spark):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, duck, name):
+    # Also fails if the plan has a cross join.
     assert check_oracle.compare(spark, duck, name, DATA) == ""
 
 
-@pytest.mark.parametrize(
-    "name", ["fact_enrich", "enrolment_final", "rule_unique_composite", "dim_upsert", "student_dim"]
-)
-def test_plans_have_no_cross_join(spark, name):
-    plan = contract.queries()[name](spark, DATA)._jdf.queryExecution().toString()
-    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
-
-
 @pytest.mark.parametrize(
     "name, column, pruned",
     [("fact_enrich", "l_extendedprice", "l_tax"), ("dedup_latest", "l_shipdate", "l_discount")],

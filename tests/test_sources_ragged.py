@@ -8,7 +8,7 @@ from tamiz.operators.ragged import clean_rows, level1, level2, level3, parse_nar
 from tamiz.plans.academic import CENSUS_WORDS
 from tamiz.sources import staged
 from tamiz.sources.delimited import CORRUPT, declare, read_delimited
-from tamiz.sources.spreadsheet import read_ragged, read_workbook
+from tamiz.sources.spreadsheet import MISSING_TEXTS, read_ragged, read_workbook
 
 
 def cells_frame(spark, data):
@@ -87,7 +87,10 @@ def test_workbook_columns_are_found_by_name(spark, rows, tmp_path):
         dates=(0,),
     )
     write_xlsx(tmp_path / "b.xlsx", [[" n ", "other"], [9, "z"], ["x", "z"]])
-    got = read_workbook(spark, str(tmp_path), declare(code="string", n="long", day="timestamp"))
+    schema = declare(code="string", n="long", day="timestamp")
+    with pytest.raises(Exception, match="b.xlsx has no column code, day"):
+        read_workbook(spark, str(tmp_path), schema).collect()
+    got = read_workbook(spark, str(tmp_path), schema, optional=["code", "day"])
     assert got.dtypes == [("code", "string"), ("n", "bigint"), ("day", "timestamp_ntz")]
     assert [(c, n, str(d)) for c, n, d in rows(got)] == [
         (None, None, "None"), (None, 9, "None"),
@@ -166,7 +169,7 @@ def test_jdbc_writer_passes_its_options(spark, monkeypatch):
         ),
     )
     monkeypatch.setattr(
-        DataFrameReader, "jdbc", lambda self, url, table, properties=None: spark.range(3)
+        DataFrameReader, "jdbc", lambda self, url, table, properties=None: spark.range(3).selectExpr("count(*) n")
     )
     monkeypatch.setenv("DW_USER", "u")
     monkeypatch.setenv("DW_PASSWORD", "p")
@@ -205,3 +208,12 @@ def test_rows_of_many_workbooks_are_kept(spark, tmp_path):
         write_xlsx(tmp_path / f"{i}.xlsx", [["n"]] + [[i * 3000 + j] for j in range(3000)])
     got = read_workbook(spark, str(tmp_path), declare(n="long"))
     assert got.agg(F.count("n"), F.countDistinct("n"), F.max("n")).first()[:] == (9000, 9000, 8999)
+
+
+def test_missing_texts_and_large_whole_numbers(spark, rows, tmp_path):
+    write_xlsx(tmp_path / "a.xlsx", [["n", "t"], [1e15, "N/A"], ["1e16", "x"], [2.5e17, "NA "]])
+    schema = declare(n="long", t="string")
+    got = rows(read_workbook(spark, str(tmp_path), schema, missing=MISSING_TEXTS))
+    assert got == [(None, "x"), (10**15, None), (25 * 10**16, "NA ")]
+    kept = read_workbook(spark, str(tmp_path), schema).filter("t = 'N/A'")
+    assert kept.count() == 1
