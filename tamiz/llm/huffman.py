@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import partial
 
@@ -221,7 +222,13 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pydict({"id": pa.array(used), "n": pa.array(total[used])})
 
 
-def _coded(batches: Iterator[pa.RecordBatch], lengths: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _order(key: int | None, row: int) -> tuple[bool, int, int]:
+    return key is not None, key or 0, row
+
+
+def _coded(
+    batches: Iterator[pa.RecordBatch], lengths: np.ndarray, bounds: list[tuple]
+) -> Iterator[pa.RecordBatch]:
     codes = canonical_codes(lengths)
     for whole in batches:
         # A share of the rows at a time, so that the arrays of ids stay small.
@@ -237,6 +244,15 @@ def _coded(batches: Iterator[pa.RecordBatch], lengths: np.ndarray) -> Iterator[p
                 {
                     "key": batch.column("key"),
                     "row": batch.column("row"),
+                    "range": pa.array(
+                        [
+                            bisect_right(bounds, _order(k, r))
+                            for k, r in zip(
+                                batch.column("key").to_pylist(), batch.column("row").to_pylist()
+                            )
+                        ],
+                        pa.int32(),
+                    ),
                     "n": pa.array(sizes),
                     "marks": pa.array(
                         [marks[a:b].tobytes() for a, b in zip(mark_ends[:-1], mark_ends[1:])],
@@ -250,8 +266,8 @@ def _coded(batches: Iterator[pa.RecordBatch], lengths: np.ndarray) -> Iterator[p
 
 
 def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted documents of one range as blocks; counts start anew in every range."""
-    part, number, before = TaskContext.get().partitionId(), 0, 0
+    """Sorted documents as blocks; a block is of one range, whose counts start anew."""
+    part, number, before = -1, 0, 0
     held: list[tuple] = []
     size = 0
 
@@ -281,17 +297,32 @@ def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("key", "n", "marks", "data"))):
-            held.append(row)
-            size += len(row[3])
-            if size >= BLOCK:
+        ranges = batch.column("range").to_pylist()
+        rows = zip(*(batch.column(c).to_pylist() for c in ("key", "n", "marks", "data")))
+        for own, row in zip(ranges, rows):
+            if held and (size >= BLOCK or own != part):
                 yield (out := block())
                 before, number = before + out.column("n_ids")[0].as_py(), number + 1
                 held, size = [], 0
+            if own != part:
+                part, number, before = own, 0, 0
+            held.append(row)
+            size += len(row[3])
     if held:
         yield block()
 
 
+def _bounds(ids: DataFrame, ranges: int) -> list[tuple]:
+    """Where ranges of about equal numbers of rows begin, from a sample of their order.
+
+    The driver takes about a hundred rows per range, whatever the size of the table.
+    """
+    share = min(1.0, 100.0 * ranges / max(ids.count(), 1))
+    sample = ids.select("key", "row").sample(share, seed=0).collect()
+    order = sorted(_order(r["key"], r["row"]) for r in sample)
+    return sorted({order[len(order) * i // ranges] for i in range(1, ranges)}) if order else []
+
+
 def write_store(
     documents: DataFrame, tokenizer: str, folder: str, end_id: int,
     key: str = "doc_id", text: str = "text", longest: int = LONGEST,
@@ -327,11 +358,13 @@ def write_store(
         [(i, int(lengths[i])) for i in used], "id long, length int"
     )
     code.coalesce(1).write.parquet(f"{folder}/codes")
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     coded = ids.mapInArrow(
-        partial(_coded, lengths=lengths), "key long, row long, n long, marks binary, data binary"
+        partial(_coded, lengths=lengths, bounds=_bounds(ids, ranges)),
+        "key long, row long, range int, n long, marks binary, data binary",
     )
-    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    in_order = coded.repartitionByRange(ranges, "key", "row").sortWithinPartitions("key", "row")
+    in_order = coded.repartitionById(ranges, F.col("range"))
+    in_order = in_order.sortWithinPartitions("range", "key", "row")
     layout = (
         "part int, block long, first_key long, n_docs long, ids_before long, n_ids long, data binary"
     )

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +26,7 @@ _UNSAFE = "[\t\n\x0b\x0c\r \u0085   -     　] |\x00"
 _CHUNKS = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 _MARKS = frozenset(".,;:!?")
 # Pre-tokens remembered by one worker; cleared when full, so its memory is bounded.
-CACHE = 300_000
+CACHE = 600_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -50,42 +51,46 @@ class Encoder:
         self.spaced = not getattr(self.model, "end_of_word_suffix", None)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self._letters = byte_letters()
-        self._known: dict[str, list[int]] = {}
+        self._known: dict[str, bytes] = {}
 
-    def _pretoken(self, word: str) -> list[int]:
+    def _pretoken(self, word: str) -> bytes:
         ids = self._known.get(word)
         if ids is None:
             if len(self._known) >= CACHE:
                 self._known.clear()
             spelled = word.encode().decode("latin-1").translate(self._letters)
-            ids = self._known[word] = [t.id for t in self.model.tokenize(spelled)]
+            ids = array("i", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+            self._known[word] = ids
         return ids
 
     def chunk_ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids one after the other, number of ids per chunk)."""
-        found: list[list[int] | None] = []
+        found: list[bytes] = []
         hard: list[int] = []
+        known, pretoken, spaced = self._known.get, self._pretoken, self.spaced
         for i, chunk in enumerate(chunks):
-            body = chunk[1:] if chunk[:1] == " " else chunk
-            mark = ""
-            if body[-1:] in _MARKS:
-                body, mark = body[:-1], body[-1]
-            if not (body.isalpha() and (body.isascii() or max(body) < "Ā")):
-                hard.append(i)
-                found.append(None)
-                continue
-            word = chunk[:-1] if mark else chunk
-            ids = self._pretoken(word if self.spaced else body.lower())
-            found.append(ids + self._pretoken(mark) if mark else ids)
+            word = chunk if spaced else chunk.lower()
+            ids = known(word)
+            if ids is None:
+                mark = word[-1:] if word[-1:] in _MARKS else ""
+                body = word[:-1] if mark else word
+                letters = body[1:] if body[:1] == " " else body
+                if not (letters.isalpha() and (letters.isascii() or max(letters) < "\u0100")):
+                    hard.append(i)
+                    ids = b""
+                elif mark:
+                    ids = (known(body) or pretoken(body)) + pretoken(mark)
+                else:
+                    ids = pretoken(body)
+            found.append(ids)
         if hard:
             whole = self.tokenizer.encode_batch(
                 [chunks[i] for i in hard], add_special_tokens=False
             )
             for i, e in zip(hard, whole):
-                found[i] = e.ids
-        sizes = np.fromiter((len(x) for x in found), np.int64, len(found))
-        ids = np.fromiter((t for x in found for t in x), np.int32, int(sizes.sum()))
-        return ids, sizes
+                found[i] = array("i", e.ids).tobytes()
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        return np.frombuffer(b"".join(found), np.int32), sizes
 
     def chunks(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """(chunks of all texts, chunks per text); a NULL text has none."""
