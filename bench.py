@@ -29,7 +29,8 @@ HEADLINE = [
     "profile_null_blank", "quality_report", "category_distribution",
     "clean_strip_quotes", "clean_zero_pad", "normalize_code_map", "parse_date_patterns",
     "clean_students", "clean_enrolments", "clean_graduates", "clean_projects",
-    "student_final", "enrolment_final",
+    "student_final", "enrolment_final", "enrolment_final_fanout", "graduate_final",
+    "graduate_final_fanout",
     "calendar_dim", "dim_surrogate_key", "dim_upsert", "geographic_dim", "student_dim",
     "ragged_dpa_parroquias", "csv_roundtrip", "xlsx_scan", "stage_overwrite",
     "staging_quality_report",
