@@ -177,16 +177,30 @@ def one_of_each(
         .select(F.col(key).alias("__key"), F.col("text_hash").alias("__hash"))
     )
     chosen = stage(chosen, shared_folder(documents.sparkSession, "simhash-kept"))
-    hash_, number = (unused(documents.columns, n) for n in ("__text_hash", "__number"))
-    rows = documents.withColumn(hash_, F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
+    names = [unused(documents.columns, f"__{n}") for n in ("key", "null", "hash", "number")]
+    name, null, hash_, number = names
+    rows = documents.withColumns(
+        {**_named(key, name, null), hash_: F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))}
+    )
+    chosen = chosen.select(
+        *[c.alias(n) for n, c in _named("__key", "__k", "__z").items()], F.col("__hash").alias("__h")
+    )
+    # As many rows as components: never broadcast, and dealt out once for join and window.
     kept = rows.join(
-        chosen,
-        F.col(f"`{key}`").eqNullSafe(F.col("__key")) & (F.col(hash_) == F.col("__hash")),
+        chosen.hint("merge"),
+        (F.col(name) == F.col("__k")) & (F.col(null) == F.col("__z"))
+        & (F.col(hash_) == F.col("__h")),
         "left_semi",
     )
-    same = Window.partitionBy(key, hash_).orderBy(
+    same = Window.partitionBy(name, null, hash_).orderBy(
         *[F.col(f"`{c}`") for c in documents.columns if c not in (key, text)], F.lit(0)
     )
     return kept.withColumn(number, F.row_number().over(same)).filter(
         F.col(number) == 1
-    ).drop(number, hash_)
+    ).drop(*names)
+
+
+def _named(key: str, name: str, null: str) -> dict[str, Column]:
+    """A key as two columns that are never NULL."""
+    k = F.col(f"`{key}`")
+    return {name: F.coalesce(k.cast("string"), F.lit("")), null: k.isNull()}

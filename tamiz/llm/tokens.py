@@ -26,7 +26,7 @@ _UNSAFE = "[\t\n\x0b\x0c\r \u0085   -     　] |\x00"
 _CHUNKS = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 _MARKS = frozenset(".,;:!?")
 # Pre-tokens remembered by one worker; cleared when full, so its memory is bounded.
-CACHE = 600_000
+CACHE = 300_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -149,7 +149,7 @@ def encoder(path: str) -> Encoder:
 
 
 # Characters that one round of encoding takes at once, which bounds a worker's memory.
-ROUND = 8_000_000
+ROUND = 3_000_000
 
 
 def rounds(batch: pa.RecordBatch, text: str, limit: int = ROUND) -> Iterator[pa.RecordBatch]:
@@ -162,3 +162,5 @@ def rounds(batch: pa.RecordBatch, text: str, limit: int = ROUND) -> Iterator[pa.
         stop = max(int(np.searchsorted(ends, done + limit, side="right")), start + 1)
         yield batch.slice(start, stop - start)
         start = stop
+        # What Arrow keeps for the next round adds up over the workers of an executor.
+        pa.default_memory_pool().release_unused()
