@@ -162,7 +162,8 @@ def edited_fingerprints(
             [F.col(f"{a}_{c}") == F.col(f"{b}_{c}") for c in ("key", "null", "hash")],
         )
 
-    docs = docs.select("k", "t", *name("k", "h", "own"))
+    # Without the key itself both uses of the documents are alike and share one exchange.
+    docs = docs.select("t", *name("k", "h", "own"))
     before = order.select(
         *name("k", "h", "is"), *name("before.k", "before.h", "to"),
         F.floor(F.col("before.n") / 4).cast("int").alias("q"),
@@ -174,8 +175,9 @@ def edited_fingerprints(
     )
     # Rows that repeat send the same twice.
     sent = sent.dropDuplicates(["to_key", "to_null", "to_hash"])
+    kind = documents.schema[key].dataType
     pairs = docs.join(sent, same("own", "to")).select(
-        "k", "t", F.length("t").alias("n"), "next_sketch",
+        F.when(~F.col("own_null"), F.col("own_key").cast(kind)).alias("k"), "t", F.length("t").alias("n"), "next_sketch",
         F.expr("concat(substring(t, 1, length(t) - cast(floor(length(t) / 4) AS INT)), head)")
         .alias("e"),
     )
