@@ -1,40 +1,68 @@
 """Licences of files: TF-IDF cosine to templates, then inheritance from directories.
 
-Passages (every line of a file, and the whole of a licence file) are compared with
-licence statements as sparse vectors: only passages that hold a telling word of a
-template are taken apart, only words of templates need a document frequency, and
-those are counted over all passages of all files. A file without a licence of its
+Passages (every line and paragraph of a file, its leading comment, and the whole of a
+licence file) are compared with licence statements, titles, headers and short licences
+as sparse vectors; besides, the version and the variant a template names must be those
+of the passage. Only passages that hold a telling word of a template are taken apart,
+only words of templates need a document frequency, and those are counted over all
+passages of all files. A file without a licence of its
 own takes that of the licence file in the nearest directory above it, found by
 joining directories with their ancestors. Built-in functions only.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.staged import shared_folder, stage
+from .license_texts import TEMPLATES
 from .quality_rules import STOP_WORDS
 
-# How licences are usually stated, by SPDX identifier.
-TEMPLATES = [
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "SPDX-License-Identifier: MIT"),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0"),
-    ("LGPL-3.0", "Licensed under the GNU Lesser General Public License, version 3."),
-    ("MPL-2.0", "Subject to the terms of the Mozilla Public License, version 2.0."),
-    ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC0-1.0", "Dedicated to the public domain under CC0 1.0."),
-]
 LICENSE_FILE = r"(?i)^(license|licence|copying|notice)([.\-_].*)?$"
 THRESHOLD = 0.7
 SPLIT = r"[^\p{L}\p{N}]+"
+# Lines of a comment, and the comment that a file starts with.
+_COMMENT = r"(?:[ \t]*+(?:#|//|/?\*|--|;|%)[^\n]*+(?:\n|\z))++"
+_LEADING = (
+    r"\A(?:#![^\n]*\n)?\s*+(/\*[\s\S]*?\*/|<!--[\s\S]*?-->|\"\"\"[\s\S]*?\"\"\"|" + _COMMENT + ")"
+)
+# Lines without a letter or digit part paragraphs.
+_GAP = r"\n(?:[^\p{L}\p{N}\n]*+\n)++"
+# What must agree, as (pattern, mark), the first that is found; the patterns are for
+# lower-case text and mean the same in Java and Python.
+_VERSION = (
+    r"(?:version|licen[cs]es?|\bv|\bver|gpl|mpl|apache|mit|cc0|zero|commons|\bby|\bsa|\bnc|\bnd|"
+    r"attribution|sharealike|noncommercial|noderivatives|noderivs)[^a-z0-9]{0,6}"
+    r"(?:version|ver|v)?[^a-z0-9]{0,6}([0-9]+(?:\.[0-9]+)*)"
+)
+_CLAUSES = r"\b([0-9])[ -]clause"
+_GNU = [
+    (r"affero|\bagpl", "A"), (r"\blesser\b|\blgpl|library\s+general\s+public", "L"),
+    (r"general[^a-z]+public|\bgpl", "G"),
+]
+_CC = [
+    (r"\bby[ /-]+nc[ /-]+sa\b|noncommercial[ -]+sharealike", "NC-SA"),
+    (r"\bby[ /-]+nc[ /-]+nd\b|noncommercial[ -]+noderiv", "NC-ND"),
+    (r"\bby[ /-]+nc\b|attribution[ -]+non-?commercial", "NC"),
+    (r"\bby[ /-]+sa\b|attribution[ -]+share-?alike", "SA"),
+    (r"\bby[ /-]+nd\b|attribution[ -]+no-?deriv", "ND"),
+    (r"\bcc[ /-]+by\b|commons\s+attribution", "BY"),
+]
+_BSD = [
+    (r"advertising[^a-z]+materials", "4"), (r"endorse[^a-z]+or[^a-z]+promote", "3"),
+    (r"redistributions[^a-z]+of[^a-z]+source", "2"),
+]
+_MARKS = {"gnu": _GNU, "cc": _CC, "bsd": _BSD}
+# Of long templates only these words call for a comparison.
+_LONG = 12
+_LEGAL = {
+    "license", "licensed", "licenses", "copyright", "permission", "redistribution",
+    "redistribute", "unencumbered", "gnu", "apache", "mozilla", "mpl",
+}
 
 
 def _words(text: Column) -> Column:
@@ -54,10 +82,45 @@ def template_words(templates: list[tuple[str, str]]) -> list[tuple[str, str, str
 
 def anchors(templates: list[tuple[str, str]]) -> list[str]:
     """Words that a passage needs one of: those of templates that are no stop words
-    and have a letter and two characters at least."""
-    words = {w for _, _, w, _ in template_words(templates)}
-    common = {*STOP_WORDS, "under", "work", "terms", "by", "sa", "nc", "subject"}
-    return sorted(w for w in words if w not in common and len(w) > 1 and not w.isdigit())
+    and have a letter and two characters at least. Of a long template those that name
+    a licence or grant are enough, if it has any."""
+    common = {
+        *STOP_WORDS, "under", "work", "terms", "by", "sa", "nc", "nd", "subject", "no", "code",
+        "january", "february", "june", "november", "www", "org", "http", "or", "later", "only",
+    }
+    out: set[str] = set()
+    for template in templates:
+        words = {w for _, _, w, _ in template_words([template])}
+        words = {w for w in words if w not in common and len(w) > 1 and not w.isdigit()}
+        out |= words & _LEGAL if len(words) > _LONG and words & _LEGAL else words
+    return sorted(out)
+
+
+def demands(templates: list[tuple[str, str]]) -> list[tuple[str, str, str, str, str]]:
+    """(template number, version, GNU, CC and BSD variant) that a passage must have;
+    an empty text asks for nothing."""
+    import re
+
+    out = []
+    for i, (_, text) in enumerate(templates):
+        low = text.lower()
+        found = re.findall(_VERSION, low) + re.findall(_CLAUSES, low)
+        marks = [
+            next((m for pattern, m in kind if re.search(pattern, low)), "")
+            for kind in _MARKS.values()
+        ]
+        out.append((f"{i:03d}", re.sub(r"(\.0)+$", "", found[0]) if found else "", *marks))
+    return out
+
+
+def _marked(low: Column) -> dict[str, Column]:
+    """Versions and variants of a passage, given in lower case."""
+    found = F.concat(*[F.regexp_extract_all(low, F.lit(p), F.lit(1)) for p in (_VERSION, _CLAUSES)])
+    out = {"versions": F.transform(found, lambda v: F.regexp_replace(v, r"(\.0)+$", ""))}
+    for name, kind in _MARKS.items():
+        first = [F.when(low.rlike(p), F.lit(m)) for p, m in kind]
+        out[name] = F.coalesce(*first, F.lit(""))
+    return out
 
 
 def values(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
@@ -69,18 +132,32 @@ def values(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {body} AS t({columns})")
 
 
+def _numbered(bodies: Column, number: Callable[[Column], Column]) -> Column:
+    return F.transform(
+        bodies, lambda x, i: F.struct(number(i).cast("int").alias("passage"), x.alias("body"))
+    )
+
+
 def passages(files: DataFrame) -> DataFrame:
-    """(file columns, passage, body): lines numbered from 0, a licence file's whole as -1."""
-    lines = F.transform(
-        F.split("text", "\n"), lambda x, i: F.struct(i.alias("passage"), x.alias("body"))
+    """(path, passage, body): lines numbered from 0, a licence file's whole as -1, the
+    leading comment as -2 and paragraphs of several lines from -3 downwards."""
+    text = F.col("text")
+    none = F.array().cast("array<string>")
+    is_license = F.regexp_extract("path", r"[^/]*$", 0).rlike(LICENSE_FILE)
+    leading = F.regexp_extract("text", _LEADING, 1)
+    apart = F.regexp_replace(text, "(?m)(^" + _COMMENT + ")", "\n$1\n")
+    blocks = F.filter(F.split(apart, _GAP), lambda x: F.trim(x, F.lit("\n")).contains("\n"))
+    bodies = F.concat(
+        _numbered(F.split("text", "\n"), lambda i: i),
+        _numbered(F.when(is_license, F.array(text)).otherwise(none), lambda i: F.lit(-1)),
+        _numbered(
+            F.when(leading.contains("\n"), F.array(leading)).otherwise(none), lambda i: F.lit(-2)
+        ),
+        _numbered(blocks, lambda i: -i - 3),
+    )
+    return files.filter("text IS NOT NULL").select("path", F.explode(bodies).alias("p")).select(
+        "path", "p.passage", "p.body"
     )
-    whole = F.when(
-        F.regexp_extract("path", r"[^/]*$", 0).rlike(LICENSE_FILE),
-        F.array(F.struct(F.lit(-1).alias("passage"), F.col("text").alias("body"))),
-    ).otherwise(F.array().cast("array<struct<passage:int,body:string>>"))
-    return files.filter("text IS NOT NULL").select(
-        "path", F.explode(F.concat(lines, whole)).alias("p")
-    ).select("path", "p.passage", "p.body")
 
 
 def own_licenses(
@@ -88,7 +165,9 @@ def own_licenses(
 ) -> DataFrame:
     """(path, license, score) of files with a passage close to a template.
 
-    The best passage counts; of equal scores the first template's licence.
+    The best passage counts; of equal scores the first template's licence. A template
+    that names a version or a variant (Lesser, Affero, NC, SA, ND, the clauses of BSD)
+    meets only passages that name it too.
     """
     spark = files.sparkSession
     rows = template_words(templates)
@@ -97,7 +176,7 @@ def own_licenses(
     every = passages(files)
     # Passages over all files, and how many hold each word of a template.
     held = F.array_intersect(F.array_distinct(_words(F.col("body"))), listed)
-    counted = every.select(F.explode(F.concat(held, F.array(F.lit("")))).alias("word"))
+    counted = every.filter("passage >= -1").select(F.explode(F.concat(held, F.array(F.lit("")))).alias("word"))
     counts = {r["word"]: r["n"] for r in counted.groupBy("word").agg(
         F.count(F.lit(1)).alias("n")).collect()}  # at most one row per word of a template
     n = counts.pop("", 0)
@@ -116,6 +195,12 @@ def own_licenses(
     )
     telling = r"(?i)(?<![\p{L}\p{N}])(" + "|".join(anchors(templates)) + r")(?![\p{L}\p{N}])"
     near = every.filter(F.col("body").rlike(telling))
+    marks = near.select("path", "passage", F.lower("body").alias("low")).select(
+        "path", "passage", *[c.alias(n) for n, c in _marked(F.col("low")).items()]
+    ).distinct()  # rows with equal paths
+    asked = F.broadcast(values(
+        spark, demands(templates), "a_template, a_version, a_gnu, a_cc, a_bsd"
+    ))
     words = near.select("path", "passage", F.explode(_words(F.col("body"))).alias("word"))
     often = words.groupBy("path", "passage", "word").agg(F.count(F.lit(1)).alias("often"))
     weighed = often.withColumn(
@@ -130,6 +215,14 @@ def own_licenses(
     scored = shared.join(size, ["path", "passage"]).withColumn(
         "score", F.round(F.col("dot") / F.col("size"), 6)
     ).filter(F.col("score") >= threshold)
+    scored = scored.join(marks, ["path", "passage"]).join(
+        asked, F.col("template") == F.col("a_template")
+    ).filter(
+        ((F.col("a_version") == "") | F.array_contains("versions", F.col("a_version")))
+        & reduce(lambda a, b: a & b, [
+            (F.col(f"a_{m}") == "") | (F.col(f"a_{m}") == F.col(m)) for m in _MARKS
+        ])
+    )
     best = F.max_by("license", F.struct("score", (-F.col("template").cast("int")).alias("t")))
     return scored.groupBy("path").agg(best.alias("license"), F.max("score").alias("score"))
 
