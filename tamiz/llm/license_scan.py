@@ -3,27 +3,31 @@
 Passages (every line and paragraph of a file, its leading comment, and the whole of a
 licence file) are compared with licence statements, titles, headers and short licences
 as sparse vectors; besides, the version and the variant a template names must be those
-of the passage. Only passages that hold a telling word of a template are taken apart,
-only words of templates need a document frequency, and those are counted over all
-passages of all files. A file without a licence of its
+of the passage. Only passages that hold a telling word of a template are taken apart.
+Document frequencies are counted over all lines of all files, as shares of the lines, so
+that a larger table with the same proportions gives the same scores. A file without a licence of its
 own takes that of the licence file in the nearest directory above it, found by
 joining directories with their ancestors. Built-in functions only.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import lookup_join
 from ..sources.staged import shared_folder, stage
 from .license_texts import TEMPLATES
 from .quality_rules import STOP_WORDS
 
 LICENSE_FILE = r"(?i)^(license|licence|copying|notice)([.\-_].*)?$"
 THRESHOLD = 0.7
+# Added to the share of lines that hold a word, so that a word in none has a weight.
+SMOOTHING = 1e-3
 SPLIT = r"[^\p{L}\p{N}]+"
 # Lines of a comment, and the comment that a file starts with.
 _COMMENT = r"(?:[ \t]*+(?:#|//|/?\*|--|;|%)[^\n]*+(?:\n|\z))++"
@@ -69,6 +73,11 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), SPLIT), lambda w: w != "")
 
 
+def _idf(share: float) -> float:
+    """Weight of a word in that share of the lines."""
+    return math.log((1 + SMOOTHING) / (share + SMOOTHING)) + 1
+
+
 def template_words(templates: list[tuple[str, str]]) -> list[tuple[str, str, str, int]]:
     """(template number, licence, word, how often) of every template."""
     import re
@@ -126,6 +135,8 @@ def _marked(low: Column) -> dict[str, Column]:
 def values(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
     """A small fixed table."""
     def literal(v: object) -> str:
+        if isinstance(v, float):
+            return f"{v!r}D"
         return str(v) if isinstance(v, int) else "'" + str(v).replace("'", "''") + "'"
 
     body = ", ".join("(" + ", ".join(map(literal, r)) + ")" for r in rows)
@@ -170,42 +181,52 @@ def own_licenses(
     meets only passages that name it too.
     """
     spark = files.sparkSession
+    folder = shared_folder(spark, "words")
     rows = template_words(templates)
-    vocabulary = sorted({r[2] for r in rows})
-    listed = F.array(*[F.lit(w) for w in vocabulary])
     every = passages(files)
-    # Passages over all files, and how many hold each word of a template.
-    held = F.array_intersect(F.array_distinct(_words(F.col("body"))), listed)
-    counted = every.filter("passage >= -1").select(F.explode(F.concat(held, F.array(F.lit("")))).alias("word"))
-    counts = {r["word"]: r["n"] for r in counted.groupBy("word").agg(
-        F.count(F.lit(1)).alias("n")).collect()}  # at most one row per word of a template
-    n = counts.pop("", 0)
-
-    def idf(df: int) -> Column:
-        return F.log(F.lit(float(n + 1)) / F.lit(float(df + 1))) + 1.0
-
-    weight = F.create_map(*[x for w in vocabulary for x in (F.lit(w), idf(counts.get(w, 0)))])
-    rare = idf(1)  # a word outside the templates
-    table = values(spark, rows, "template, license, word, often").withColumn(
-        "w", F.col("often") * F.element_at(weight, F.col("word"))
-    )
-    norms = table.groupBy("template").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("size"))
-    table = table.join(F.broadcast(norms), "template").select(
-        "template", "license", F.col("word").alias("t_word"), (F.col("w") / F.col("size")).alias("t")
-    )
     telling = r"(?i)(?<![\p{L}\p{N}])(" + "|".join(anchors(templates)) + r")(?![\p{L}\p{N}])"
     near = every.filter(F.col("body").rlike(telling))
+    words = near.select("path", "passage", F.explode(_words(F.col("body"))).alias("word"))
+    often = stage(
+        words.groupBy("path", "passage", "word").agg(F.count(F.lit(1)).alias("often")),
+        f"{folder}/often",
+    )
+    # In how many lines a word is, kept for the words of passages to be compared and
+    # of templates.
+    lines = F.split("text", "\n")
+    held = F.flatten(F.transform(lines, lambda x: F.array_distinct(_words(x))))
+    texts = files.filter("text IS NOT NULL")
+    counted = texts.select(F.explode(held).alias("word")).groupBy("word").agg(
+        F.count(F.lit(1)).alias("df")
+    )
+    total = texts.agg(F.sum(F.size(lines).cast("long"))).first()[0] or 0
+    vocabulary = sorted({r[2] for r in rows})
+    asked_for = often.select("word").unionByName(
+        values(spark, [(w,) for w in vocabulary], "word")
+    ).distinct()
+    known = stage(counted.join(asked_for, "word", "left_semi"), f"{folder}/known")
+    in_templates = known.join(
+        F.broadcast(values(spark, [(w,) for w in vocabulary], "word")), "word", "left_semi"
+    )
+    counts = {r["word"]: r["df"] for r in in_templates.collect()}  # words of templates only
+    weight = {w: _idf(counts.get(w, 0) / max(total, 1)) for w in vocabulary}
+    square: dict[str, float] = {}
+    for template, _, word, n in rows:
+        square[template] = square.get(template, 0.0) + (n * weight[word]) ** 2
+    table = values(
+        spark, [(t, name, w, n * weight[w] / square[t] ** 0.5) for t, name, w, n in rows],
+        "template, license, t_word, t",
+    )
+    share = F.coalesce(F.col("df"), F.lit(0)) / F.lit(float(max(total, 1)))
+    weighed = lookup_join(often, known, "word").withColumn(
+        "w", F.col("often") * (F.log((1 + SMOOTHING) / (share + SMOOTHING)) + 1)
+    )
     marks = near.select("path", "passage", F.lower("body").alias("low")).select(
         "path", "passage", *[c.alias(n) for n, c in _marked(F.col("low")).items()]
     ).distinct()  # rows with equal paths
     asked = F.broadcast(values(
         spark, demands(templates), "a_template, a_version, a_gnu, a_cc, a_bsd"
     ))
-    words = near.select("path", "passage", F.explode(_words(F.col("body"))).alias("word"))
-    often = words.groupBy("path", "passage", "word").agg(F.count(F.lit(1)).alias("often"))
-    weighed = often.withColumn(
-        "w", F.col("often") * F.coalesce(F.try_element_at(weight, F.col("word")), rare)
-    )
     size = weighed.groupBy("path", "passage").agg(
         F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("size")
     )

@@ -121,3 +121,17 @@ def test_whole_licence_files_of_this_machine(spark, rows):
     files += [(f"{k}/0/x.py", "x = 1") for k in found]
     got = license_scan(spark.createDataFrame(files, SCHEMA)).collect()
     assert {(r["path"].split("/")[0], r["license"]) for r in got} == set(found.items())
+
+
+def test_verdicts_do_not_depend_on_the_size(spark):
+    """A statement among ordinary words; the more lines, the more the words weighed."""
+    ordinary = "This file is one of the files that is in the box and this is the house."
+    statement = "This file is released under the MIT License."
+    files = [(f"f{i}", ordinary + f"\nrow {i}") for i in range(400)] + [("said", statement)]
+    scores = set()
+    for times in (1, 50):
+        rows = spark.createDataFrame(files, SCHEMA).crossJoin(spark.range(times)).drop("id")
+        said = license_scan(rows).filter(F.col("path") == "said").select("license", "score").first()
+        assert said["license"] == "MIT"
+        scores.add(said["score"])
+    assert len(scores) == 1
