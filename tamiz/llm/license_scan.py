@@ -280,16 +280,11 @@ def license_scan(
         .withColumn("home", directory(F.col("path")))
         .groupBy("home")
         .agg(
-            F.max(F.struct("score", "license")).alias("top"),
-            F.collect_set(F.struct("score", "path", "license")).alias("all"),
+            F.min_by(
+                F.struct("score", "path", "license"), F.struct(-F.col("score"), F.col("path"))
+            ).alias("source")
         )
     )
-    # A directory holds few licence files; of those with the best score the first path counts.
-    first = F.array_sort(
-        F.filter("all", lambda x: x["score"] == F.col("top.score")),
-        lambda a, b: F.when(a["path"] < b["path"], -1).otherwise(1),
-    )[0]
-    places = places.select("home", first.alias("source"))
     folders = plain.select(directory(F.col("path")).alias("dir")).distinct()
     parts = F.filter(F.split("dir", "/"), lambda x: x != "")
     above = folders.select(

@@ -135,3 +135,13 @@ def test_verdicts_do_not_depend_on_the_size(spark):
         assert said["license"] == "MIT"
         scores.add(said["score"])
     assert len(scores) == 1
+
+
+def test_many_licence_files_in_a_directory(spark):
+    """The best score counts, then the first path; no directory is gathered in one value."""
+    said = [("MIT", "Released under the MIT License."), ("CC-BY-4.0", "Licensed under CC BY 4.0.")]
+    files = [(f"d/LICENSE-{i:03d}", said[i % 2][1]) for i in range(60)] + [("d/x.py", "x = 1")]
+    scanned = license_scan(spark.createDataFrame(files, SCHEMA))
+    assert "collect_" not in scanned._jdf.queryExecution().toString()
+    row = scanned.filter(F.col("path") == "d/x.py").first()
+    assert (row["license"], row["license_from"]) == ("MIT", "d/LICENSE-000") and row["inherited"]
