@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from ..shipping import ship_package
 from .quality_rules import STOP_WORDS, SYMBOLS
+from .words import lines_with_words
 
 # Bounds of the training sample: documents, and lines over all of them.
 MAX_DOCUMENTS = 3_000
@@ -197,7 +198,7 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             features, _ = document_features(batch.column("text")[row].as_py())
             yield pa.RecordBatch.from_pydict(
                 {
-                    "label": batch.column("label").slice(row, 1),
+                    **{c: batch.column(c).slice(row, 1) for c in ("at", "label", "tie", "n")},
                     "lines": pa.array([len(features)], pa.int64()),
                     "features": pa.array([features.ravel().tolist()]),
                 }
@@ -210,9 +211,12 @@ def train(
 ) -> LineField:
     """Fit on at most ``max_documents`` labelled rows, chosen by a hash of ``order``.
 
-    The driver receives numbers of the sample's lines, never texts, and stops at
-    ``max_lines`` lines. Rows with a NULL label or key are left out; a NULL text is
-    an empty document.
+    The driver receives numbers of the sample's lines, never texts, and at most
+    ``max_lines`` lines: rows are taken in the order of the hash, equal hashes by
+    label and a hash of the text, and one that does not fit any more is passed over
+    by itself. Rows with a NULL label or key are left out; a NULL text is an empty
+    document. If rows of a label are among the chosen ones but none of them fits, a
+    ValueError says so.
     """
     ship_package(labelled.sparkSession)
     usable = labelled.filter(
@@ -222,18 +226,48 @@ def train(
         F.col(f"`{label}`").cast("int").alias("label"), F.col(f"`{text}`").alias("text"),
     )
     last = usable.select("at").orderBy("at").limit(max_documents).agg(F.max("at")).first()[0]
-    sample = usable.filter(F.col("at") <= F.lit(last).cast("long"))
-    schema = "label int, lines long, features array<double>"
-    features, lengths, labels, held = [], [], [], 0
-    for row in sample.select("label", "text").mapInArrow(_featured, schema).toLocalIterator():
-        if held + row["lines"] > max_lines:
-            break
-        held += row["lines"]
-        features.append(np.array(row["features"]).reshape(row["lines"], -1))
-        lengths.append(row["lines"])
-        labels.append(row["label"])
-    stacked = np.vstack(features) if features else np.zeros((0, 3 * N_OWN))
-    return fit_field(stacked, np.array(lengths, int), np.array(labels, int), steps)
+    # Rows with equal hashes may be more than documents asked for; they are cut below.
+    sample = usable.filter(F.col("at") <= F.lit(last).cast("long")).withColumn(
+        "tie", F.xxhash64("text")
+    )
+    # As document_features counts: lines with a character other than blanks, or one.
+    n_lines = F.greatest(F.size(lines_with_words(F.col("text"))), F.lit(1)).cast("long")
+    sizes = sample.select("at", "label", "tie", n_lines.alias("lines"))
+    order_by = ["at", "label", "tie"]
+    wanted: dict[tuple, int] = {}
+    seen: set[int] = set()
+    held = 0
+    for row in sizes.orderBy(*order_by).limit(max_documents).collect():
+        seen.add(row["label"])
+        if held + row["lines"] <= max_lines:
+            held += row["lines"]
+            name = (row["at"], row["label"], row["tie"])
+            wanted[name] = wanted.get(name, 0) + 1
+    missing = seen - {name[1] for name in wanted}
+    if missing:
+        raise ValueError(
+            f"no sampled row labelled {sorted(missing)} fits into {max_lines} lines"
+        )
+    if not wanted:
+        return fit_field(np.zeros((0, 3 * N_OWN)), np.array([], int), np.array([], int), steps)
+    # At most max_documents names.
+    named = labelled.sparkSession.createDataFrame(
+        [(*name, n) for name, n in wanted.items()], "at long, label int, tie long, n int"
+    )
+    chosen = sample.join(F.broadcast(named), order_by).select(*order_by, "n", "text")
+    schema = "at long, label int, tie long, n int, lines long, features array<double>"
+    taken: dict[tuple, tuple[np.ndarray, int]] = {}
+    for row in chosen.dropDuplicates(order_by).mapInArrow(_featured, schema).toLocalIterator():
+        taken[(row["at"], row["label"], row["tie"])] = (
+            np.array(row["features"]).reshape(row["lines"], -1), row["n"]
+        )
+    features, labels = [], []
+    for name in wanted:  # in hash order, whatever the files
+        part, n = taken[name]
+        features += [part] * n
+        labels += [name[1]] * n
+    lengths = np.array([len(x) for x in features], int)
+    return fit_field(np.vstack(features), lengths, np.array(labels, int), steps)
 
 
 def _score_texts(field: LineField, texts: Sequence[str | None]) -> list[float]:

@@ -2,6 +2,7 @@ import itertools
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tamiz.llm.line_crf import (
@@ -88,3 +89,20 @@ def test_held_out_accuracy(spark):
     held = rows.filter("held_out").collect()
     assert len(held) > 30
     assert np.mean([r["predicted"] == r["quality"] for r in held]) > 0.95
+
+
+def test_a_text_beyond_the_bound_is_passed_over(spark):
+    """Whatever the order of rows, a long labelled text does not end the sample."""
+    rows = [(i, "The house of the man was on the hill.\n" * 3 if i % 2 else "buy### now$$$ x%%%", i % 2)
+            for i in range(60)]
+    schema = "doc_id long, text string, quality int"
+    long = [(1000 + i, "the line is here\n" * 400, i % 2) for i in range(2)]
+    fields = [
+        train(spark.createDataFrame(mixed, schema).coalesce(1), max_lines=200)
+        for mixed in (long + rows, rows + long, rows[::-1] + long)
+    ]
+    for field in fields:
+        assert np.abs(field.weights).sum() > 0
+        assert np.allclose(field.weights, fields[0].weights)
+    with pytest.raises(ValueError, match="fits"):
+        train(spark.createDataFrame(long, schema), max_lines=200)
