@@ -44,7 +44,8 @@ def show(title: str, df: DataFrame) -> None:
 
 
 def build(spark: SparkSession, args: argparse.Namespace) -> None:
-    raw = academic.read_sources(spark, args.input)
+    complete = academic.read_sources(spark, args.input, keep_corrupt=True)
+    raw = academic.for_cleaning(complete)
     for name, df in raw.items():
         df.printSchema()
         show(name, df.limit(5))  # a look at the data; sample_rows gives a repeatable one
@@ -52,7 +53,7 @@ def build(spark: SparkSession, args: argparse.Namespace) -> None:
     show("validation", academic.validate(raw))
     census = academic.read_census(spark, args.input)
     staged = academic.build(raw, census, args.staging, args.format, args.compat)
-    show("quality", academic.report(raw, staged).orderBy("source"))
+    show("quality", academic.report(complete, staged).orderBy("source"))
 
 
 def dims(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.delimited import CORRUPT
+
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """``(table, rows)`` of several tables in one frame."""
@@ -20,6 +22,25 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def malformed_lines(tables: Mapping[str, DataFrame], corrupt: str = CORRUPT) -> DataFrame:
+    """``(source, malformed)``: rows with a ``corrupt`` line, one aggregate per table.
+
+    The other columns are read as well: a reader that is asked for the line alone
+    refuses, and one that skips columns may not see what is wrong with them.
+    """
+    def bad(df: DataFrame) -> Column:
+        others = F.concat_ws("", *[F.col(c).cast("string") for c in df.columns if c != corrupt])
+        return F.count_if(F.col(corrupt).isNotNull() & (F.length(others) >= 0))
+
+    return reduce(
+        DataFrame.unionByName,
+        [
+            df.agg(bad(df).alias("malformed")).select(F.lit(n).alias("source"), "malformed")
+            for n, df in tables.items()
+        ],
+    )
+
+
 def quality_report(
     sources: Mapping[str, tuple[DataFrame | None, DataFrame]],
 ) -> DataFrame:

@@ -22,12 +22,12 @@ from ..operators.enrich import Lookup, enrich
 from ..operators.profile import profile_tables
 from ..operators.ragged import Narrative, parse_narrative
 from ..operators.refint import lookup_or_default
-from ..operators.report import quality_report
+from ..operators.report import malformed_lines, quality_report
 from ..operators.rules import (
     ForeignKeyRule, UniqueRule, date_range, in_domain, min_date, nonzero,
     summarize_rules,
 )
-from ..sources.delimited import read_delimited, declare
+from ..sources.delimited import CORRUPT, read_delimited, declare
 from ..sources.spreadsheet import MISSING_TEXTS, read_ragged, read_workbook
 from ..sources.staged import stage_tables
 from . import values as V
@@ -85,16 +85,27 @@ CENSUS_FILE = "dpa.xlsx"
 Tables = Mapping[str, DataFrame]
 
 
-def read_sources(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    """All inputs under ``base``; malformed delimited rows keep what parsed."""
+def read_sources(
+    spark: SparkSession, base: str, keep_corrupt: bool = False
+) -> dict[str, DataFrame]:
+    """All inputs under ``base``; malformed delimited rows keep what parsed.
+
+    ``keep_corrupt`` leaves delimited sources the column with the line of a malformed
+    row, which :func:`report` counts and :func:`for_cleaning` drops.
+    """
     out = {}
     for name, (file, sep, schema) in SOURCES.items():
         path = f"{base}/{file}"
         if sep is None:
             out[name] = read_workbook(spark, path, schema, missing=MISSING_TEXTS)
         else:
-            out[name] = read_delimited(spark, path, schema, sep).select(*schema.fieldNames())
-    return out
+            out[name] = read_delimited(spark, path, schema, sep)
+    return out if keep_corrupt else for_cleaning(out)
+
+
+def for_cleaning(raw: Tables) -> dict[str, DataFrame]:
+    """The sources with their declared columns only."""
+    return {n: df.select(*SOURCES[n][2].fieldNames()) for n, df in raw.items()}
 
 
 def read_census(spark: SparkSession, base: str) -> dict[str, DataFrame]:
@@ -591,13 +602,22 @@ def build(
 
 
 def report(raw: Tables, staged: Tables) -> DataFrame:
-    """Original, clean and removed rows; census tables have no original."""
+    """Original, clean and removed rows; census tables have no original.
+
+    Sources read with ``keep_corrupt`` add the column ``malformed``, the lines of a
+    delimited source that did not parse (they are among the original ones, and among
+    the removed ones only if cleaning found them invalid); NULL for other sources.
+    """
     sides: dict[str, tuple[DataFrame | None, DataFrame]] = {
         SOURCES[n][0]: (raw[n], staged[n]) for n in SOURCES
     }
     for n in ("dpa_provincias", "dpa_cantones", "dpa_parroquias"):
         sides[n] = (None, staged[n])
-    return quality_report(sides)
+    counted = quality_report(sides)
+    marked = {f: o for f, (o, _) in sides.items() if o is not None and CORRUPT in o.columns}
+    if not marked:
+        return counted
+    return counted.join(malformed_lines(marked), "source", "left")
 
 
 def profile_sources(raw: Tables) -> DataFrame:

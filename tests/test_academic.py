@@ -319,3 +319,20 @@ def test_titles_of_programs_that_are_gone(spark, rows):
     got = A.graduate_final(degrees, programs, titles, projects)
     assert rows(got, "cod_estudiante", "nombre_titulo") == [
         (1, "one"), (2, "one"), (3, None), (4, "zwei")]
+
+
+def test_malformed_lines_are_counted(spark, base, tables, tmp_path):
+    for name, text in CSV.items():
+        (tmp_path / name).write_text(text, encoding="utf-8-sig")
+    for name, data in XLSX.items():
+        write_xlsx(tmp_path / name, data)
+    with (tmp_path / "estudiante.csv").open("a", encoding="utf-8") as f:
+        f.write("\nno number;100;Una\nx9;1;2;3;4;5;6;7;8;9\n")
+    with (tmp_path / "sexo.csv").open("a", encoding="utf-8") as f:
+        f.write("\nMAS\n")
+    raw = A.read_sources(spark, str(tmp_path), keep_corrupt=True)
+    report = {r["source"]: r for r in A.report(raw, tables).collect()}
+    bad = {n: r["malformed"] for n, r in report.items()}
+    assert (bad["estudiante.csv"], bad["sexo.csv"], bad["ciudades.csv"]) == (2, 1, 0)
+    assert bad["carreras.xlsx"] is None and bad["dpa_cantones"] is None
+    assert all("_corrupt_record" not in df.columns for df in A.for_cleaning(raw).values())
