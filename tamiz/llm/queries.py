@@ -8,6 +8,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .conversation_repair import damage, repair_conversations
 from .fingerprints import containment, digest, edited_fingerprints
 from ..sources.staged import shared_folder
 from .huffman import read_store, write_store
@@ -220,3 +221,10 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The licence of every document, its own or that of a directory above."""
     scanned = license_scan(document_files(table(spark, sf_dir, "documents")))
     return scanned.select("doc_id", "path", "license", "score", "license_from", "inherited")
+
+
+@query("op12_conversation_repair")
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every damaged conversation."""
+    damaged, left = damage(table(spark, sf_dir, "conversations"))
+    return repair_conversations(damaged, left)
