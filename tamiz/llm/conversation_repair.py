@@ -24,6 +24,8 @@ from functools import partial
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..shipping import ship_package
 from ..sources.staged import shared_folder, stage
@@ -224,15 +226,15 @@ def plan_repairs(rows: DataFrame, left: Column | None = None) -> DataFrame:
     ordered = compact.repartition("conv_id").sortWithinPartitions(
         "conv_id", "turn", "role_order", "hash", "hash2"
     )
-    kind = rows.schema["conv_id"].dataType.simpleString()
-    empty = rows.sparkSession.createDataFrame([], f"conv_id {kind}, {PLAN}")
+    schema = _schema(rows, PLAN)
     return ordered.drop("role_order").mapInArrow(
-        partial(_plans, schema=_arrow(empty)), empty.schema
+        partial(_plans, schema=to_arrow_schema(schema)), schema
     )
 
 
-def _arrow(df: DataFrame) -> pa.Schema:
-    return df.toArrow().schema
+def _schema(rows: DataFrame, others: str) -> T.StructType:
+    kind = rows.schema["conv_id"].dataType
+    return T.StructType([T.StructField("conv_id", kind), *T.StructType.fromDDL(others)])
 
 
 def _repaired(
@@ -293,16 +295,15 @@ def _repaired(
 def _streamed(
     rows: DataFrame, plans: DataFrame, left: Column | None, digest: bool, schema: str
 ) -> DataFrame:
-    kind = rows.schema["conv_id"].dataType.simpleString()
     texts = _rows(rows, F.lit(True) if left is None else left).filter("left").select(
         "conv_id", F.lit(True).alias("is_row"), "turn", "role", "hash", "hash2", "text"
     )
     heads = plans.select("conv_id", F.lit(False).alias("is_row"), *PLAN_COLUMNS)
     both = heads.unionByName(texts, allowMissingColumns=True)
     ordered = both.repartition("conv_id").sortWithinPartitions("conv_id", "is_row", *ORDER)
-    empty = rows.sparkSession.createDataFrame([], f"conv_id {kind}, {schema}")
+    result = _schema(rows, schema)
     return ordered.mapInArrow(
-        partial(_repaired, schema=_arrow(empty), digest=digest), empty.schema
+        partial(_repaired, schema=to_arrow_schema(result), digest=digest), result
     )
 
 

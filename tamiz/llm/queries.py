@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .conversation_repair import damage, repair_conversations
 from .fingerprints import containment, digest, edited_fingerprints
 from ..sources.staged import shared_folder
+from .hard_negatives import hard_negatives
 from .huffman import read_store, write_store
 from .license_scan import license_scan
 from .line_crf import LineField, held_out, score, train
@@ -228,3 +229,12 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults and cheapest repair of every damaged conversation."""
     damaged, left = damage(table(spark, sf_dir, "conversations"))
     return repair_conversations(damaged, left)
+
+
+@query("op11_hard_negatives")
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, whose labels are partly wrong."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(
+        table(spark, sf_dir, "embeddings"), anchor=F.col("id") % 100 == 0, label=label
+    )
