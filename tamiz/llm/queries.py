@@ -19,6 +19,7 @@ from .packing import pack_documents
 from .piece_sampling import decode_pieces, sample_pieces
 from .quality_rules import COUNTS, RULES, STOP_WORDS, SYMBOLS, quality_rules
 from .simhash import near_duplicates
+from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
 from .warc import derivatives, responses
 from .words import SPACES
@@ -238,3 +239,14 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(
         table(spark, sf_dir, "embeddings"), anchor=F.col("id") % 100 == 0, label=label
     )
+
+
+@query("op13_suffix_dedup")
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every text without passages of 100 bytes that start earlier."""
+    cut = remove_repeats(table(spark, sf_dir, "documents"), length=100)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["stop"] - s["start"])
+    return cut.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
