@@ -2,8 +2,10 @@
 
 A lookup is broadcast only after its size has been measured. Past the limit the
 join shuffles, and keys that fill more than one task on the left side are spread
-over salts. Such keys are counted once and staged, so the rows in front of a join
-are read twice however many joins follow each other. The salt depends on the row
+over salts. Such keys are found by a sketch of their hashes, which exchanges no rows,
+and staged, so the rows in front of a join are read twice however many joins follow
+each other. Both sides take the salts from the same staged table, so the result does
+not depend on what the sketch finds. The salt depends on the row
 and its partition, never on the order of rows, so a task that is run again after a
 lost executor sends every row to the same place.
 """
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.staged import shared_folder, stage
+from .heavy import HASH, ROWS, heavy_keys, key_hashes, without_nulls
 
 KeyPairs = Sequence[tuple[str, str]]
 
@@ -130,6 +133,30 @@ def split_keys(counts: DataFrame, keys: Sequence[str], rows_per_task: int) -> Sp
     return SplitKeys(frame, measure([(frame, [])])[0])
 
 
+def heavy_split(
+    df: DataFrame, key_hash: Column, needed: Sequence[str], rows_per_task: int
+) -> SplitKeys:
+    """Hashes of keys that need more than one task, with their salts.
+
+    Rows with a NULL in one of the columns ``needed`` are left out. Keys are sketched,
+    so no row is exchanged, see :func:`tamiz.operators.heavy.heavy_keys`.
+    """
+    item = F.when(without_nulls(needed), key_hash) if needed else key_hash
+    heavy = heavy_keys(df, item, rows_per_task)
+    salts = F.ceil(F.col(ROWS) / heavy.limit).cast("int").alias("__salts")
+    return SplitKeys(heavy.frame.select(HASH, salts), LookupSize(heavy.keys, 24 * heavy.keys, 1))
+
+
+def _mark_hashed(df: DataFrame, split: SplitKeys, key_hash: Column) -> DataFrame:
+    """Add the salt counts of split keys by the hash of the key."""
+    if not split.size.rows:
+        return df.withColumn("__salts", F.lit(None).cast("int"))
+    hot = F.broadcast(split.frame) if split.size.fits() else split.frame
+    return df.withColumn("__h", key_hash).join(hot, F.col("__h") == F.col(HASH), "left").drop(
+        "__h", HASH
+    )
+
+
 def _condition(pairs: KeyPairs, null_safe: bool) -> Column:
     tests = [
         F.col(l).eqNullSafe(F.col(r)) if null_safe else F.col(l) == F.col(r)
@@ -216,7 +243,8 @@ def salted_join(
 ) -> DataFrame:
     """Shuffle join in which large left keys are spread over several tasks.
 
-    Counts the left keys in a job of its own. Right rows of a split key are repeated once per salt, at most
+    Finds large left keys in a job of its own, which reads the left rows and moves none.
+    Right rows of a split key are repeated once per salt, at most
     ``left rows / rows_per_task`` extra copies over all keys of a unique lookup.
     ``largest_group`` is the most right rows one key has; if that is too many
     for one task as well, those keys are joined apart, over a grid.
@@ -240,20 +268,25 @@ def salted_join(
         )
         return rest.unionByName(apart)
 
-    split = split_keys(key_counts(left, left_keys), left_keys, rows_per_task)
+    hashes = key_hashes(left, right, pairs)
+    if hashes is None:
+        # Keys that are equal without being the same are counted as the join compares them.
+        split = split_keys(key_counts(left, left_keys), left_keys, rows_per_task)
+        marked = _mark_split(left, split, left_keys, null_safe, ["__salts"])
+        copied = _mark_split(right, split, right_keys, null_safe, ["__salts"])
+    else:
+        split = heavy_split(left, hashes[0], [] if null_safe else left_keys, rows_per_task)
+        marked, copied = _mark_hashed(left, split, hashes[0]), _mark_hashed(right, split, hashes[1])
     row = row_spread(left)
     salt = F.coalesce(F.pmod(row, F.col("__salts")), F.lit(0))
     if not null_safe:
         any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in left_keys])
         # They match nothing, so any place will do.
         salt = F.when(any_null, row).otherwise(salt)
-    salted = _mark_split(left, split, left_keys, null_safe, ["__salts"]).select(
-        *left.columns, salt.cast("long").alias("__salt")
-    )
-    copies = _mark_split(right, split, right_keys, null_safe, ["__salts"])
+    salted = marked.select(*left.columns, salt.cast("long").alias("__salt"))
     numbers = F.transform(_salts("__salts"), lambda n: n.cast("long"))
     each = F.explode(numbers) if split.size.rows else F.lit(0).cast("long")
-    copies = copies.select(*right.columns, each.alias("__copy"))
+    copies = copied.select(*right.columns, each.alias("__copy"))
     joined = salted.join(copies, _condition([*pairs, ("__salt", "__copy")], null_safe), how)
     return joined.drop("__salt", "__copy", *right_keys)
 

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tamiz.operators import heavy
 from tamiz.operators.cleaning import CleanSpec, Reference, clean_table
 from tamiz.operators.dedup import dedup, distinct_on
 from tamiz.operators.enrich import FanOutError, Lookup, duplicate_keys, enrich, join_audit
@@ -193,3 +194,84 @@ def test_every_hot_key_is_split(spark, rows):
     assert split.size.rows == split.frame.count() == 2_000
     joined = salted_join(facts, names, [("k", "id2")], rows_per_task=2)
     assert joined.filter("name = concat('n', k)").count() == 6_000
+
+
+def test_finding_hot_keys_moves_no_rows(spark, rows, tmp_path):
+    """The fact is exchanged once, for the join; hot keys are found from its scan."""
+    path = f"file://{tmp_path}/facts"
+    spark.range(20_000).selectExpr(
+        "if(id % 4 = 0, 5, id) AS k", "if(id % 3 = 0, 'x', cast(id % 700 as string)) AS c", "id"
+    ).write.parquet(path)
+    facts = spark.read.parquet(path)
+    names = spark.range(20_000).selectExpr(
+        "cast(id as int) AS id2", "if(id = 5, 'x', cast(id % 700 as string)) AS c2", "concat('n', id) AS name"
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = heavy.sketch(facts, F.xxhash64("k", "c"))
+        staged = [found._jdf.queryExecution().executedPlan().toString()]
+        joined = salted_join(facts, names, [("k", "id2"), ("c", "c2")], rows_per_task=1000)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        lines = staged[0].splitlines()
+        below = [lines[i + 1] for i, line in enumerate(lines) if "Exchange" in line]
+        assert below and all("partial_" in line for line in below), staged[0]
+        assert "partial_approx_top_k_accumulate" in staged[0]
+        assert plan.count("Exchange hashpartitioning") == 2
+        assert rows(joined) == rows(lookup_join(facts, names, [("k", "id2"), ("c", "c2")]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("limit", [3, 40, 1000])
+def test_no_key_above_the_limit_is_missed(spark, limit):
+    df = spark.range(200_000).select(
+        F.when(F.col("id") % 10 < 3, F.floor(F.sqrt("id")).cast("long") % 300)
+        .otherwise(F.col("id")).alias("k")
+    ).repartition(5)
+    found = heavy.heavy_keys(df, F.col("k"), limit)
+    got = {r[0]: r[1] for r in found.frame.collect()}
+    true = {r[0]: r[1] for r in df.groupBy("k").count().filter(F.col("count") > found.limit).collect()}
+    assert found.limit == limit and found.keys == len(got)
+    assert set(true) <= set(got) and all(got[k] >= n for k, n in true.items())
+
+
+def test_a_sketch_that_is_too_small_raises_the_limit(spark, monkeypatch):
+    monkeypatch.setattr(heavy, "TRACKED", 8)
+    monkeypatch.setattr(heavy, "MOST_TRACKED", 32)
+    df = spark.range(10_000).select((F.col("id") % 2500).alias("k"))
+    found = heavy.heavy_keys(df, F.col("k"), 2)
+    assert found.limit == heavy.reach(10_000, 32) > 2 and found.keys == 0
+    none = heavy.heavy_keys(df.filter("false"), F.col("k"), 2)
+    assert none.keys == 0 and none.frame.columns == ["__hash", "__rows"]
+
+
+def test_sketches_of_loads_merge(spark):
+    loads = [spark.range(n * 1000, n * 1000 + 1000).select(F.when(F.col("id") % 2 == 0, -1)
+             .otherwise(F.col("id")).alias("k")) for n in range(3)]
+    merged = heavy.merge_sketches(
+        heavy.sketch(loads[0], F.col("k")).union(heavy.sketch(loads[1], F.col("k")))
+        .union(heavy.sketch(loads[2], F.col("k")))
+    )
+    top = heavy.estimates(merged).orderBy(F.desc("count")).first()
+    assert heavy.estimates(merged).filter("item IS NULL").count() == 1
+    assert tuple(top) == (3000, -1, 1500)
+
+
+def test_keys_that_a_hash_would_part_are_counted(spark, rows):
+    left = spark.createDataFrame([(1, "a"), (2, "A")] * 30, "i int, k string")
+    left = left.select("i", F.collate("k", "UTF8_LCASE").alias("k"))
+    right = spark.createDataFrame([("A", 1)], "x string, v int").select(
+        F.collate("x", "UTF8_LCASE").alias("x"), "v"
+    )
+    assert heavy.key_hashes(left, right, [("k", "x")]) is None
+    joined = salted_join(left, right, [("k", "x")], rows_per_task=7)
+    assert joined.filter("v = 1").count() == 60
+
+
+def test_keys_of_different_types_meet(spark, rows):
+    left = spark.createDataFrame([(float(i % 3), i) for i in range(90)], "k double, i int")
+    right = spark.createDataFrame([(0, "zero"), (2, "two")], "x int, v string")
+    on = [("k", "x")]
+    assert rows(salted_join(left, right, on, rows_per_task=10)) == rows(lookup_join(left, right, on))
+    text = left.select(F.col("k").cast("int").cast("string").alias("k"), "i")
+    assert rows(salted_join(text, right, on, rows_per_task=10)) == rows(lookup_join(text, right, on))
