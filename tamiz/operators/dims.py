@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_key, half_year, iso_weekday, nth_name
+from ..sources.staged import shared_folder, stage
 from .dedup import dedup
 from .joins import lookup_join
 
@@ -66,11 +67,13 @@ def surrogate_key(
     Rows are numbered inside hash buckets of their business key and shifted by
     the rows of the buckets before. The bucket comes from the key alone, so ids
     do not depend on partitioning and repeat on every run. ``business_key`` must
-    be unique; only the per-bucket totals are ordered in one place.
+    be unique; only the per-bucket totals are ordered in one place. Rows are staged,
+    as they are read for the numbers and for the totals.
     """
     text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in business_key])
     bucket = F.conv(F.substring(F.md5(text), 1, 6), 16, 10).cast("int") % F.lit(buckets)
     rows = dim.withColumn("__bucket", bucket)
+    rows = stage(rows, shared_folder(dim.sparkSession, "keyed"))
     totals = rows.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(

@@ -13,6 +13,7 @@ from ..operators.dims import (
     calendar_dim, load_stamp, rename_and_stamp, surrogate_key, with_unknown_member,
 )
 from ..operators.enrich import Lookup, enrich
+from ..operators.history import apply_load, open_history
 from ..sources.staged import stage_tables
 from . import values as V
 
@@ -107,6 +108,28 @@ def title_dim(titles: DataFrame, programs: DataFrame, run_ts: str | None = None)
     )
 
 
+def title_history(
+    history: DataFrame | None, titles: DataFrame, programs: DataFrame, at: str
+) -> DataFrame:
+    """Versions of titles: the first load opens them, a later one is compared.
+
+    Titles that a load lacks are closed. Stage the result before the next load.
+    """
+    rows = enrich(
+        titles.select(
+            F.col("COD_TITULO").alias("cod_titulo"),
+            F.col("COD_CARRERA_PROGRAMA").alias("cod_carrera"), F.col("strNombre").alias("titulo"),
+        ),
+        Lookup(
+            programs, [("cod_carrera", "strCodigo")], {"strNombre": "carrera"}, name="program"
+        ),
+    )
+    key = ["cod_titulo", "cod_carrera"]
+    if history is None:
+        return open_history(rows, key, V.VALID_FROM, V.VALID_TO)
+    return apply_load(history, rows, key, at, close_missing=True, forever=V.VALID_TO)
+
+
 def period_dim(periods: DataFrame, run_ts: str | None = None) -> DataFrame:
     return rename_and_stamp(
         periods,
