@@ -1,6 +1,6 @@
 """The academic warehouse as a Spark job.
 
-    spark-submit jobs/academic.py build --input DIR --staging DIR [--compat]
+    spark-submit jobs/academic.py build --input DIR --staging DIR [--compat] [--publish NAME]
     spark-submit jobs/academic.py dims  --staging DIR --warehouse DIR --province-map CSV
     spark-submit jobs/academic.py load  --staging DIR --jdbc-url URL --jdbc-driver CLASS
         [--targets staged=target ...]
@@ -9,7 +9,9 @@
 dimensions; ``load`` copies staged tables to a database, with user and password
 from DW_USER and DW_PASSWORD. The province map has a header and the columns
 strCodProv (province code of a city) and cod_provincia (census code): without it
-students have no home place, as the two sets of codes share none. The package is
+students have no home place, as the two sets of codes share none. With ``--publish``
+the tables are staged under a path of their own and readers of NAME get them all at
+once, see tamiz/sources/publish.py. The package is
 sent to the executors, so the job runs from any folder.
 """
 
@@ -27,6 +29,7 @@ from tamiz.operators.dims import run_time  # noqa: E402
 from tamiz.plans import academic, warehouse  # noqa: E402
 from tamiz.shipping import ship_package  # noqa: E402
 from tamiz.sources.delimited import declare, read_delimited  # noqa: E402
+from tamiz.sources.publish import new_version, switch  # noqa: E402
 from tamiz.sources.staged import (  # noqa: E402
     jdbc_properties, jdbc_writer, load_tables, read_staged, read_tables,
 )
@@ -52,7 +55,10 @@ def build(spark: SparkSession, args: argparse.Namespace) -> None:
     show("profile", academic.profile_sources(raw))
     show("validation", academic.validate(raw))
     census = academic.read_census(spark, args.input)
-    staged = academic.build(raw, census, args.staging, args.format, args.compat)
+    base = new_version(args.staging) if args.publish else args.staging
+    staged = academic.build(raw, census, base, args.format, args.compat)
+    if args.publish:
+        switch(spark, args.publish, {n: f"{base}/{n}" for n in staged})
     show("quality", academic.report(complete, staged).orderBy("source"))
 
 
@@ -88,6 +94,7 @@ def parse(argv: list[str] | None) -> argparse.Namespace:
         p.add_argument("--compat", action="store_true")
         if name == "build":
             p.add_argument("--input", required=True)
+            p.add_argument("--publish", metavar="NAME")
         if name == "dims":
             p.add_argument("--warehouse", required=True)
             p.add_argument("--run-ts")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import io
+import uuid
 import zipfile
 from collections.abc import Iterator
 from xml.sax.saxutils import escape
@@ -12,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ...operators.ragged import clean_rows
+from ...sources.counts import footer_count_frame
 from ...sources.delimited import CORRUPT, declare, read_delimited
+from ...sources.publish import publish, published
 from ...sources.spreadsheet import (
     MISSING_TEXTS, read_ragged, read_workbook, typed_table, workbook_rows,
 )
@@ -109,6 +113,44 @@ def staged_sql(s: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query(
+    "publish_tables",
+    """SELECT n_name AS nation, count(*) AS customers FROM customer
+       JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 4 <> 1 GROUP BY 1""",
+)
+def publish_tables(s: SparkSession, d: str) -> DataFrame:
+    """Readers see the last complete set, not the one of which a table failed."""
+    base, name = shared_folder(s, "published"), f"set_{uuid.uuid4().hex}"
+    nations, customers = table(s, d, "nation"), table(s, d, "customer")
+    for rest in (0, 1):
+        publish(
+            s, {"nation": nations, "customer": customers.filter(F.col("c_custkey") % 4 != rest)},
+            base, name,
+        )
+    broken = F.when(F.col("c_custkey") >= 0, F.raise_error(F.lit("broken")).cast("long"))
+    with contextlib.suppress(Exception):
+        publish(
+            s, {"nation": nations.limit(0), "customer": customers.withColumn("c_custkey", broken)},
+            base, name,
+        )
+    tables = published(s, name)
+    return (
+        tables["customer"].join(tables["nation"], F.col("c_nationkey") == F.col("n_nationkey"))
+        .groupBy(F.col("n_name").alias("nation")).agg(F.count(F.lit(1)).alias("customers"))
+    )
+
+
+@query(
+    "staged_counts",
+    """SELECT 'nation' AS "table", count(*) AS rows FROM nation UNION ALL SELECT 'orders', count(*) FROM orders
+       UNION ALL SELECT 'documents', count(*) FROM documents""",
+)
+def staged_counts(s: SparkSession, d: str) -> DataFrame:
+    """Rows of tables from the footers of their files."""
+    names = ["nation", "orders", "documents"]
+    return footer_count_frame(s, {n: f"{d}/{n}.parquet" for n in names})
+
+
 # --- workbooks made from the tables -----------------------------------------
 
 _XML = '<?xml version="1.0" encoding="UTF-8"?>'

@@ -7,10 +7,13 @@ import tempfile
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+from .counts import footer_counts
+
 REPORT_SCHEMA = "table string, status string, rows long, error string"
 
 
@@ -80,11 +83,33 @@ def register_views(tables: Mapping[str, DataFrame], prefix: str = "") -> None:
         df.createOrReplaceTempView(f"{prefix}{name}")
 
 
+@dataclass(frozen=True)
+class StagedTable:
+    """Loader of a staged table; a missing one fails when it is called."""
+
+    spark: SparkSession
+    path: str
+    fmt: str = "parquet"
+
+    def __call__(self) -> DataFrame:
+        return read_staged(self.spark, self.path, self.fmt)
+
+    def rows(self) -> int:
+        return staged_rows(self.spark, self.path, self.fmt)
+
+
+def staged_rows(spark: SparkSession, path: str, fmt: str = "parquet") -> int:
+    """Rows of a staged table; those of Parquet files are in their footers."""
+    if fmt == "parquet":
+        return footer_counts(spark, {path: path})[path]
+    return read_staged(spark, path, fmt).count()
+
+
 def read_tables(
     spark: SparkSession, base: str, names: Sequence[str], fmt: str = "parquet"
-) -> dict[str, Callable[[], DataFrame]]:
-    """Loaders of staged tables; a missing one fails when it is called."""
-    return {n: (lambda p=f"{base}/{n}": read_staged(spark, p, fmt)) for n in names}
+) -> dict[str, StagedTable]:
+    """Loaders of staged tables."""
+    return {n: StagedTable(spark, f"{base}/{n}", fmt) for n in names}
 
 
 def load_tables(
@@ -97,7 +122,7 @@ def load_tables(
 
     ``write(frame, target)`` returns the rows it finds in the target afterwards.
     A count that differs from the source is an error too: it reveals partial
-    and repeated task output. Returns ``(table, status, rows, error)``.
+    and repeated task output. Staged tables are counted from their footers. Returns ``(table, status, rows, error)``.
     """
     names = targets or {n: n for n in sources}
     report = []
@@ -105,7 +130,8 @@ def load_tables(
         try:
             source = sources[name]
             frame = source() if callable(source) else source
-            expected, found = frame.count(), write(frame, target)
+            expected = source.rows() if isinstance(source, StagedTable) else frame.count()
+            found = write(frame, target)
             if expected == found:
                 report.append((target, "OK", found, None))
             else:
@@ -118,7 +144,12 @@ def load_tables(
 
 def path_writer(base: str, fmt: str = "parquet") -> Callable[[DataFrame, str], int]:
     """Target writer for :func:`load_tables`: overwrite ``base/<target>``."""
-    return lambda df, target: stage(df, f"{base}/{target}", fmt).count()
+
+    def write(df: DataFrame, target: str) -> int:
+        stage(df, f"{base}/{target}", fmt)
+        return staged_rows(df.sparkSession, f"{base}/{target}", fmt)
+
+    return write
 
 
 def jdbc_properties(driver: str, prefix: str = "DW") -> dict[str, str]:
