@@ -26,11 +26,14 @@ def footer_count_frame(spark: SparkSession, paths: Mapping[str, str]) -> DataFra
     own = footer_session(spark)
     counts = [
         own.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"))
-        # Pushed down, the count of a table without row groups is NULL.
-        .select(F.lit(name).alias("table"), F.coalesce("rows", F.lit(0).cast("long")).alias("rows"))
+        .select(F.lit(name).alias("table"), "rows")
         for name, path in paths.items()
     ]
-    return reduce(DataFrame.unionByName, counts)
+    # Pushed down, the count of a table without row groups comes back as NULL, although
+    # a count never is; a maximum may be.
+    return reduce(DataFrame.unionByName, counts).groupBy("table").agg(
+        F.coalesce(F.max("rows"), F.lit(0).cast("long")).alias("rows")
+    )
 
 
 def footer_counts(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, int]:
