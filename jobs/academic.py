@@ -60,6 +60,8 @@ def build(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.publish:
         switch(spark, args.publish, {n: f"{base}/{n}" for n in staged})
     show("quality", academic.report(complete, staged).orderBy("source"))
+    lost = academic.cleaning_funnel(raw, staged, census, compat=args.compat)
+    show("rows lost by step", lost.orderBy("table", "position"))
 
 
 def dims(spark: SparkSession, args: argparse.Namespace) -> None:

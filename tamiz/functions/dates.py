@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -10,9 +11,41 @@ from pyspark.sql import functions as F
 from .codes import map_value
 
 
+def pattern_shape(pattern: str) -> str | None:
+    """Regular expression of the texts that a date pattern can read.
+
+    It may let through what does not parse (a month 13), never the other way round. None
+    for patterns with letters other than numbers of a date or time.
+    """
+    out, i = ["^"], 0
+    while i < len(pattern):
+        letter = pattern[i]
+        n = len(pattern[i:]) - len(pattern[i:].lstrip(letter))
+        if letter in "yu" and n == 4:
+            # Four letters take more digits with a sign.
+            out.append("[+-]?[0-9]{4,}")
+        elif letter in "yu" and n == 2 or letter in "MdHms" and n == 2:
+            out.append("[0-9]{2}")
+        elif letter in "MdHms" and n == 1:
+            out.append("[0-9]{1,2}")
+        elif letter.isalpha() or letter in "'[]#{}":
+            return None
+        else:
+            out.append(re.escape(letter) * n)
+        i += n
+    return "".join(out) + "$"
+
+
+def _parsed(c: Column, pattern: str) -> Column:
+    shape = pattern_shape(pattern)
+    parsed = F.try_to_date(c, pattern)
+    # A value that does not fit costs an exception, so only likely ones are tried.
+    return parsed if shape is None else F.when(c.rlike(shape), parsed)
+
+
 def parse_date(c: Column, *patterns: str) -> Column:
     """First pattern that parses wins; NULL where none does."""
-    tries = [F.try_to_date(c, p) for p in patterns]
+    tries = [_parsed(c, p) for p in patterns]
     return tries[0] if len(tries) == 1 else F.coalesce(*tries)
 
 

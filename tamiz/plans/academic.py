@@ -7,6 +7,8 @@ plan deliberately differs; each function says in which way.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +19,9 @@ from ..functions.dates import iso_date, iso_date_or, parse_date, period_label
 from ..functions.text import (
     clean, default_if_blank, not_blank, strip_markers, strip_quotes,
 )
-from ..operators.cleaning import CleanSpec, Reference, clean_table, date_window, present
+from ..operators.cleaning import (
+    CleanSpec, Reference, clean_table, date_window, funnel, present,
+)
 from ..operators.enrich import Lookup, enrich
 from ..operators.profile import profile_tables
 from ..operators.ragged import Narrative, parse_narrative
@@ -32,6 +36,9 @@ from ..sources.spreadsheet import MISSING_TEXTS, read_ragged, read_workbook
 from ..sources.staged import stage_tables
 from . import values as V
 
+# What is done with the rows of a source and their spec: cleaning, or counting what it loses.
+Cleaner = Callable[[DataFrame, CleanSpec], DataFrame]
+
 CENSUS_WORDS = Narrative(V.LEVEL1_WORD, V.LEVEL1_PREFIX, V.LEVEL2_WORD, V.SKIP_WORD)
 
 _NAMED = declare("strCodigo", "strNombre")
@@ -193,47 +200,45 @@ def _coded(*parents: str) -> dict:
     }
 
 
-def clean_provinces(raw: DataFrame, domain: Sequence[str] = V.PROVINCES) -> DataFrame:
-    return clean_table(
-        raw,
-        CleanSpec(["strCodigo"], _coded(), [F.col("strCodigo").isin(list(domain))]),
-    )
+def _coded_spec(*parents: str) -> CleanSpec:
+    return CleanSpec(["strCodigo"], _coded(*parents), {"no code": present("strCodigo")})
 
 
-def clean_sexes(raw: DataFrame) -> DataFrame:
-    return clean_table(
-        raw, CleanSpec(["strCodigo"], _coded(), [F.col("strNombre").isin(V.SEX_NAMES)])
-    )
+def clean_provinces(
+    raw: DataFrame, domain: Sequence[str] = V.PROVINCES, using: Cleaner = clean_table
+) -> DataFrame:
+    known = F.col("strCodigo").isin(list(domain))
+    return using(raw, CleanSpec(["strCodigo"], _coded(), {"unknown code": known}))
+
 
+def clean_sexes(raw: DataFrame, using: Cleaner = clean_table) -> DataFrame:
+    known = F.col("strNombre").isin(V.SEX_NAMES)
+    return using(raw, CleanSpec(["strCodigo"], _coded(), {"unknown name": known}))
 
-def clean_cities(raw: DataFrame, provinces: DataFrame) -> DataFrame:
+
+def clean_cities(
+    raw: DataFrame, provinces: DataFrame, using: Cleaner = clean_table
+) -> DataFrame:
     """Cities of a clean province; the unknown city needs none."""
     in_province = Reference(
-        provinces, [("strCodProv", "strCodigo")], F.col("strCodigo") == V.UNKNOWN_CITY
-    )
-    return clean_table(
-        raw,
-        CleanSpec(["strCodigo"], _coded("strCodProv"), [present("strCodigo")], [in_province]),
+        provinces, [("strCodProv", "strCodigo")], F.col("strCodigo") == V.UNKNOWN_CITY, "no province"
     )
+    return using(raw, replace(_coded_spec("strCodProv"), references=[in_province]))
 
 
-def clean_faculties(raw: DataFrame) -> DataFrame:
-    return clean_table(raw, CleanSpec(["strCodigo"], _coded(), [present("strCodigo")]))
+def clean_faculties(raw: DataFrame, using: Cleaner = clean_table) -> DataFrame:
+    return using(raw, _coded_spec())
 
 
-def clean_schools(raw: DataFrame) -> DataFrame:
-    return clean_table(
-        raw, CleanSpec(["strCodigo"], _coded("strCodFacultad"), [present("strCodigo")])
-    )
+def clean_schools(raw: DataFrame, using: Cleaner = clean_table) -> DataFrame:
+    return using(raw, _coded_spec("strCodFacultad"))
 
 
-def clean_programs(raw: DataFrame) -> DataFrame:
-    return clean_table(
-        raw, CleanSpec(["strCodigo"], _coded("strCodEscuela"), [present("strCodigo")])
-    )
+def clean_programs(raw: DataFrame, using: Cleaner = clean_table) -> DataFrame:
+    return using(raw, _coded_spec("strCodEscuela"))
 
 
-def clean_periods(raw: DataFrame) -> DataFrame:
+def clean_periods(raw: DataFrame, using: Cleaner = clean_table) -> DataFrame:
     """Periods with two valid dates in order, and a rebuilt label.
 
     Not sorted: order belongs to whoever reads the table, not to its files.
@@ -244,39 +249,43 @@ def clean_periods(raw: DataFrame) -> DataFrame:
         parse_date(F.col("dtFechaInic"), V.PERIOD_DATE).alias("dtFechaInic_parsed"),
         parse_date(F.col("dtFechaFin"), V.PERIOD_DATE).alias("dtFechaFin_parsed"),
     )
-    unique = clean_table(dated, CleanSpec(["strCodigo"], {}, [date_window(start, end)]))
+    unique = using(
+        dated, CleanSpec(["strCodigo"], {}, {"dates missing or out of order": date_window(start, end)})
+    )
+    if using is not clean_table:
+        return unique
     label = period_label(
         F.col("strCodigo"), start, end, V.MONTH_BY_NUMBER, V.REMEDIAL_PREFIX, V.REMEDIAL_LABEL
     )
     return unique.select("strCodigo", label.alias("strDescripcion"), start, end)
 
 
-def clean_projects(raw: DataFrame) -> DataFrame:
-    return clean_table(
+def clean_projects(raw: DataFrame, using: Cleaner = clean_table) -> DataFrame:
+    return using(
         raw,
         CleanSpec(
             ["intCodProyecto"],
             {"txtTema": strip_quotes(F.col("txtTema"))},
-            [present("intCodProyecto"), not_blank(F.col("txtTema"))],
+            {"no code": present("intCodProyecto"), "no text": not_blank(F.col("txtTema"))},
         ),
     )
 
 
-def clean_titles(raw: DataFrame) -> DataFrame:
+def clean_titles(raw: DataFrame, using: Cleaner = clean_table) -> DataFrame:
     """Titles keep programs that exist no longer, so there is no reference."""
     columns = ["COD_TITULO", "COD_CARRERA_PROGRAMA", "strNombre"]
-    return clean_table(
+    return using(
         raw,
         CleanSpec(
             ["COD_TITULO", "COD_CARRERA_PROGRAMA"],
             {c: clean(F.col(c), upper=True) for c in columns},
-            [present("COD_TITULO"), not_blank(F.col("strNombre"))],
+            {"no code": present("COD_TITULO"), "no name": not_blank(F.col("strNombre"))},
         ),
     )
 
 
-def clean_subjects(raw: DataFrame) -> DataFrame:
-    return clean_table(
+def clean_subjects(raw: DataFrame, using: Cleaner = clean_table) -> DataFrame:
+    return using(
         raw,
         CleanSpec(
             ["COD_CARRERA_PROGRAMA", "COD_MATERIA"],
@@ -285,12 +294,14 @@ def clean_subjects(raw: DataFrame) -> DataFrame:
                 "MATERIA": clean(F.col("MATERIA"), upper=True),
                 "COD_CARRERA_PROGRAMA": clean(F.col("COD_CARRERA_PROGRAMA")),
             },
-            [present("COD_MATERIA"), not_blank(F.col("MATERIA"))],
+            {"no code": present("COD_MATERIA"), "no name": not_blank(F.col("MATERIA"))},
         ),
     )
 
 
-def clean_students(raw: DataFrame, cities: DataFrame, compat: bool = False) -> DataFrame:
+def clean_students(
+    raw: DataFrame, cities: DataFrame, compat: bool = False, using: Cleaner = clean_table
+) -> DataFrame:
     """Students with unknown members for what is missing.
 
     Differs from ``compat``: city codes are trimmed before they are looked up,
@@ -301,8 +312,8 @@ def clean_students(raw: DataFrame, cities: DataFrame, compat: bool = False) -> D
     placed = lookup_or_default(
         raw, cities, "strCodCiudadProc", "strCodigo", V.UNKNOWN_CITY, trim_first=not compat
     )
-    return clean_table(
-        placed,
+    return using(
+        placed.select(*raw.columns),
         CleanSpec(
             ["cedula"],
             {
@@ -314,18 +325,20 @@ def clean_students(raw: DataFrame, cities: DataFrame, compat: bool = False) -> D
                 ),
                 "dtFechaNac": birth.cast("string") if compat else birth,
             },
-            [
-                present("cedula"),
-                not_blank(F.col("strNombres")),
-                F.col("strCodSexo").isin(V.SEX_CODES),
-            ],
+            {
+                "no identity": present("cedula"),
+                "no name": not_blank(F.col("strNombres")),
+                "unknown sex": F.col("strCodSexo").isin(V.SEX_CODES),
+            },
             dedup_first=compat,
         ),
-    ).select(*raw.columns)
+    )
 
 
-def clean_enrolments(raw: DataFrame, programs: DataFrame) -> DataFrame:
-    return clean_table(
+def clean_enrolments(
+    raw: DataFrame, programs: DataFrame, using: Cleaner = clean_table
+) -> DataFrame:
+    return using(
         raw,
         CleanSpec(
             ["Estudiante", "strCodPeriodo", "COD_CARRERA_PROGRAMA", "strCodMateria"],
@@ -334,20 +347,26 @@ def clean_enrolments(raw: DataFrame, programs: DataFrame) -> DataFrame:
                 "COD_CARRERA_PROGRAMA": clean(F.col("COD_CARRERA_PROGRAMA")),
                 "strCodMateria": clean(F.col("strCodMateria")),
             },
-            [
-                F.col("Estudiante") != 0,
-                F.col("strCodPeriodo").isin(list(V.PERIOD_CODES.values())),
-                present("strCodMateria"),
-                F.col("strCodFormaAprob").isin(V.APPROVAL_FORMS),
-            ],
-            [Reference(programs, [("COD_CARRERA_PROGRAMA", "strCodigo")])],
+            {
+                "no student": F.col("Estudiante") != 0,
+                "unknown period": F.col("strCodPeriodo").isin(list(V.PERIOD_CODES.values())),
+                "no subject": present("strCodMateria"),
+                "unknown form": F.col("strCodFormaAprob").isin(V.APPROVAL_FORMS),
+            },
+            [_in_program(programs)],
         ),
     )
 
 
-def clean_graduates(raw: DataFrame, programs: DataFrame) -> DataFrame:
+def _in_program(programs: DataFrame) -> Reference:
+    return Reference(programs, [("COD_CARRERA_PROGRAMA", "strCodigo")], name="no program")
+
+
+def clean_graduates(
+    raw: DataFrame, programs: DataFrame, using: Cleaner = clean_table
+) -> DataFrame:
     """Degrees since the earliest date; the date is compared as a date."""
-    return clean_table(
+    return using(
         raw,
         CleanSpec(
             ["estudiante", "COD_CARRERA_PROGRAMA", "strCodTitulo"],
@@ -355,16 +374,17 @@ def clean_graduates(raw: DataFrame, programs: DataFrame) -> DataFrame:
                 "COD_CARRERA_PROGRAMA": clean(F.col("COD_CARRERA_PROGRAMA")),
                 "strCodTitulo": clean(F.col("strCodTitulo"), upper=True),
             },
-            [
-                present("estudiante", "strCodTitulo"),
-                iso_date(F.col("dtFechaGrado")) >= F.lit(V.EARLIEST_DEGREE).cast("date"),
-            ],
-            [Reference(programs, [("COD_CARRERA_PROGRAMA", "strCodigo")])],
+            {
+                "no student or title": present("estudiante", "strCodTitulo"),
+                "no date or too early":
+                    iso_date(F.col("dtFechaGrado")) >= F.lit(V.EARLIEST_DEGREE).cast("date"),
+            },
+            [_in_program(programs)],
         ),
     )
 
 
-def clean_census(levels: Tables) -> dict[str, DataFrame]:
+def clean_census(levels: Tables, using: Cleaner = clean_table) -> dict[str, DataFrame]:
     """The three geographic tables: trimmed codes, names without markers."""
     keys = {
         "dpa_provincias": ("cod_dpa", "nombre_provincia", []),
@@ -378,10 +398,42 @@ def clean_census(levels: Tables) -> dict[str, DataFrame]:
         upper = clean(F.col(name), upper=True)
         named = upper if table == "dpa_provincias" else strip_markers(upper, at_most=2)
         normalise = {c: clean(F.col(c)) for c in [key, *parents]} | {name: named}
-        out[table] = clean_table(levels[table], CleanSpec([key], normalise, [present(key)]))
+        out[table] = using(levels[table], CleanSpec([key], normalise, {"no code": present(key)}))
     return out
 
 
+def cleaning_funnel(
+    raw: Tables, staged: Tables, census: Tables | None = None,
+    provinces: Sequence[str] = V.PROVINCES, compat: bool = False,
+) -> DataFrame:
+    """``(table, position, step, rows)``: where every source loses rows while it is cleaned.
+
+    ``staged`` are the clean tables that others refer to; census levels are counted if
+    given. The steps of a table but ``kept`` add up to the rows it loses.
+    """
+    frames = {
+        "provincias": clean_provinces(raw["provincias"], provinces, funnel),
+        "sexo": clean_sexes(raw["sexo"], funnel),
+        "ciudades": clean_cities(raw["ciudades"], staged["provincias"], funnel),
+        "facultades": clean_faculties(raw["facultades"], funnel),
+        "escuelas": clean_schools(raw["escuelas"], funnel),
+        "carreras": clean_programs(raw["carreras"], funnel),
+        "periodos": clean_periods(raw["periodos"], funnel),
+        "proyectos": clean_projects(raw["proyectos"], funnel),
+        "titulo_carrera": clean_titles(raw["titulo_carrera"], funnel),
+        "materia": clean_subjects(raw["materia"], funnel),
+        "estudiante": clean_students(raw["estudiante"], staged["ciudades"], compat, funnel),
+        "matricula": clean_enrolments(raw["matricula"], staged["carreras"], funnel),
+        "graduados": clean_graduates(raw["graduados"], staged["carreras"], funnel),
+    }
+    if census is not None:
+        frames |= clean_census(census, funnel)
+    return reduce(
+        DataFrame.unionByName,
+        [f.select(F.lit(t).alias("table"), "position", "step", "rows") for t, f in frames.items()],
+    )
+
+
 # --- integration ------------------------------------------------------------
 
 

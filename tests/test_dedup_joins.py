@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tamiz.operators import heavy
-from tamiz.operators.cleaning import CleanSpec, Reference, clean_table
+from tamiz.operators.cleaning import CleanSpec, Reference, clean_table, funnel
 from tamiz.operators.dedup import dedup, distinct_on
 from tamiz.operators.enrich import FanOutError, Lookup, duplicate_keys, enrich, join_audit
 from tamiz.operators.joins import key_counts, split_keys, lookup_join, measure, salted_join
@@ -275,3 +275,35 @@ def test_keys_of_different_types_meet(spark, rows):
     assert rows(salted_join(left, right, on, rows_per_task=10)) == rows(lookup_join(left, right, on))
     text = left.select(F.col("k").cast("int").cast("string").alias("k"), "i")
     assert rows(salted_join(text, right, on, rows_per_task=10)) == rows(lookup_join(text, right, on))
+
+
+@pytest.mark.parametrize("dedup_first", [False, True])
+def test_funnel_adds_up_to_what_cleaning_loses(spark, rows, dedup_first):
+    parents = spark.createDataFrame([("A",), ("B",)], "code string")
+    data = [(i % 40 if i % 11 else None, ["A", "B", "Z", None][i % 4], i % 5) for i in range(200)]
+    df = spark.createDataFrame(data, "k int, parent string, n int").repartition(3)
+    spec = CleanSpec(
+        ["k"], {"n": F.col("n") - 1}, {"key": F.col("k").isNotNull(), "positive": F.col("n") > 0},
+        [Reference(parents, [("parent", "code")], F.col("k") == 7, "parent")],
+        dedup_first=dedup_first,
+    )
+    found = [tuple(r) for r in funnel(df, spec).orderBy("position").collect()]
+    steps = ["key", "positive", "parent"]
+    expected = ["duplicate", *steps, "kept"] if dedup_first else [*steps, "duplicate", "kept"]
+    assert [s for _, s, _ in found] == expected and [p for p, _, _ in found] == [1, 2, 3, 4, 5]
+    counts = {s: n for _, s, n in found}
+    assert counts["kept"] == clean_table(df, spec).count()
+    assert sum(counts.values()) == 200
+    if not dedup_first:
+        assert counts["key"] == sum(k is None for k, _, _ in data)
+        assert counts["positive"] == sum(k is not None and n < 2 for k, _, n in data)
+
+
+def test_funnel_reads_its_table_once(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    spark.range(100).selectExpr("id", "id % 7 AS k").write.parquet(path)
+    spec = CleanSpec(["k"], {}, {f"c{i}": F.col("id") != i for i in range(9)})
+    plan = funnel(spark.read.parquet(path), spec)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+    none = funnel(spark.read.parquet(path).filter("id < 0"), spec)
+    assert {r["rows"] for r in none.collect()} == {0}

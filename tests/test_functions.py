@@ -149,3 +149,22 @@ def test_period_label(spark, code, expected):
         ),
     )
     assert got == expected
+
+
+@pytest.mark.parametrize(
+    "pattern", ["yyyy-MM-dd", "d/MM/yy", "dd.MM.yyyy", "d/M/yyyy", "yyyyMMdd", "yyyy-MM-dd HH:mm:ss"]
+)
+def test_shapes_let_every_date_through(spark, pattern):
+    """With the shape in front the same texts parse as without."""
+    texts = [
+        "2024-02-29", "2024-2-29", "2023-02-29", "5/04/19", "05/04/19", "5/4/2019", "31.12.1999",
+        "20240131", "2024-01-31 10:11:12", " 2024-01-31", "2024-01-31 ", "12024-01-31", "+12024-01-31",
+        "-2024-01-31", "", "x", "1/1/1", "99/99/99", "٢٠٢٤-٠١-٣١", "2024-01-31\n", "0000-00-00", None,
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select("t", dates.parse_date(F.col("t"), pattern).alias("a"), F.try_to_date("t", pattern).alias("b"))
+    assert [tuple(r) for r in rows.filter("NOT a <=> b").collect()] == []
+
+
+def test_patterns_without_a_shape():
+    assert dates.pattern_shape("dd MMM yyyy") is None and dates.pattern_shape("yyyy-MM-dd'T'HH") is None
