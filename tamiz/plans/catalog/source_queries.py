@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ...operators.ragged import clean_rows
 from ...sources.counts import footer_count_frame
 from ...sources.delimited import CORRUPT, declare, read_delimited
+from ...sources.inference import count_types, infer_types, read_inferred, read_texts
 from ...sources.publish import publish, published
 from ...sources.spreadsheet import (
     MISSING_TEXTS, read_ragged, read_workbook, typed_table, workbook_rows,
@@ -45,6 +46,71 @@ def csv_roundtrip(s: SparkSession, d: str) -> DataFrame:
     return read_delimited(s, path, schema, sep=";").drop(CORRUPT)
 
 
+# Columns of the file of which types are inferred, as SQL of both sides.
+_TEXTS = {
+    "o_orderkey": "CAST(o_orderkey AS STRING)",
+    "big": "CAST(o_orderkey * 1000003000 AS STRING)",
+    "status": "'0' || o_orderstatus",
+    "code": "lpad(CAST(o_custkey AS STRING), 9, '0')",
+    "price": "CAST(CAST(o_totalprice AS DECIMAL(15, 2)) AS STRING)",
+    "day": "substr(CAST(CAST(o_orderdate AS DATE) AS STRING), 1, 10)",
+    "moment": "substr(CAST(CAST(o_orderdate AS DATE) AS STRING), 1, 10) || ' 10:11:12.5'",
+    "mixed": "CASE WHEN o_orderkey % 10 = 0 THEN 'n/a' WHEN o_orderkey % 10 = 1 THEN '2024-02-30' "
+             "WHEN o_orderkey % 10 = 2 THEN '1e3' WHEN o_orderkey % 10 = 3 THEN ' true ' "
+             "ELSE CAST(o_custkey AS STRING) END",
+    "gaps": "CASE WHEN o_orderkey % 3 = 0 THEN '  ' ELSE CAST(o_custkey AS STRING) END",
+}
+_FITS = {
+    "int": "regexp_matches(v, '^[+-]?(0|[1-9][0-9]*)$') AND TRY_CAST(v AS INTEGER) IS NOT NULL",
+    "long": "regexp_matches(v, '^[+-]?(0|[1-9][0-9]*)$') AND TRY_CAST(v AS BIGINT) IS NOT NULL",
+    "decimal": "regexp_matches(v, '^[+-]?(0|[1-9][0-9]*)(\\.[0-9]+)?$')",
+    "double": "regexp_matches(v, '^[+-]?(0|[1-9][0-9]*)(\\.[0-9]+)?([eE][+-]?[0-9]+)?$')",
+    "date": "regexp_matches(v, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$') AND TRY_CAST(v AS DATE) IS NOT NULL",
+    "timestamp": "regexp_matches(v, '^[0-9]{4}-[0-9]{2}-[0-9]{2}( .*)?$') AND TRY_CAST(v AS TIMESTAMP) IS NOT NULL",
+    "boolean": "lower(v) IN ('true', 'false')",
+    "string": "true",
+}
+_INFERRED = f"""
+WITH v AS ({" UNION ALL ".join(
+    f"SELECT {i} AS position, '{c}' AS col, trim({x}) AS v FROM orders" for i, (c, x) in enumerate(_TEXTS.items(), 1)
+)}),
+n AS (SELECT position, col, count(*) FILTER (WHERE v <> '') AS vals, count(*) FILTER (WHERE v = '') AS missing,
+        {", ".join(f"count(*) FILTER (WHERE v <> '' AND {x}) AS {t}_" for t, x in _FITS.items())}
+      FROM v GROUP BY 1, 2),
+c AS (SELECT *, CASE {" ".join(f"WHEN vals > 0 AND {t}_ = vals THEN '{t}'" for t in _FITS)} ELSE 'string' END AS choice
+      FROM n)
+{" UNION ALL ".join(
+    f"""SELECT CAST(position AS INTEGER) AS position, col AS "column", '{t}' AS type, vals AS "values", missing,
+        vals - {t}_ AS lost, (vals - {t}_) / vals::DOUBLE AS lost_share, choice = '{t}' AS chosen FROM c"""
+    for t in _FITS
+)}"""
+
+
+@query("infer_types", _INFERRED)
+def infer_types_of_orders(s: SparkSession, d: str) -> DataFrame:
+    """Types that the columns of a delimited file allow, and what each type would lose."""
+    path = shared_folder(s, "csv")
+    columns = [F.expr(x).alias(c) for c, x in _TEXTS.items()]
+    columns[0] = columns[0].alias("\ufeffo_orderkey")
+    table(s, d, "orders").select(*columns).write.option("header", True).option("sep", ";").csv(path)
+    return infer_types(count_types(read_texts(s, path, ";")))
+
+
+@query(
+    "csv_inferred",
+    f"""SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, {_TEXTS["big"]} :: BIGINT AS big, {_TEXTS["status"]} AS status,
+               {_TEXTS["code"]} AS code, CAST(o_orderdate AS DATE) AS day FROM orders""",
+)
+def csv_inferred(s: SparkSession, d: str) -> DataFrame:
+    """The same file read with the inferred schema."""
+    path = shared_folder(s, "csv")
+    names = ["o_orderkey", "big", "status", "code", "day"]
+    table(s, d, "orders").select(*[F.expr(_TEXTS[c]).alias(c) for c in names]).write.option(
+        "header", True
+    ).csv(path)
+    return read_inferred(s, path).drop(CORRUPT)
+
+
 @query(
     "csv_bad_rows",
     """SELECT CAST(count(*) FILTER (WHERE c_nationkey % 5 <> 0) AS BIGINT) AS good,
