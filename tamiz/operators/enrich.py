@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..sources.staged import shared_folder, stage
 from .joins import (
-    BROADCAST_BYTES, BROADCAST_ROWS, key_counts, key_pairs, lookup_join, measure,
+    BROADCAST_BYTES, BROADCAST_ROWS, bucketed_join, key_counts, key_pairs, lookup_join, measure,
 )
 
 
@@ -27,6 +27,8 @@ class Lookup:
     ``expect="one"`` refuses a lookup whose key repeats; ``"many"`` lets the rows
     multiply; ``"trusted"`` skips the check, for large lookups whose key is unique
     by construction. ``fold_case`` compares keys trimmed and in upper case.
+    ``placed`` says that rows and lookup are staged in the same buckets of the keys, so
+    they are joined where they are.
     """
 
     frame: DataFrame
@@ -36,6 +38,7 @@ class Lookup:
     how: str = "left"
     fold_case: bool = False
     name: str = "lookup"
+    placed: bool = False
 
     def prepared(self) -> tuple[DataFrame, list[tuple[str, str]]]:
         """Lookup columns under their output names, keys under private ones."""
@@ -81,6 +84,9 @@ def enrich(rows: DataFrame, *lookups: Lookup, **limits: int) -> DataFrame:
             )
     shuffled = False
     for lk, (frame, pairs), size in zip(lookups, steps, sizes):
+        if lk.placed and not lk.fold_case:
+            rows = bucketed_join(rows, frame, pairs, lk.how, **limits)
+            continue
         if not size.fits(*limit):
             if shuffled:
                 rows = stage(rows, shared_folder(rows.sparkSession, "enriched"))

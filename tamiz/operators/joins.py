@@ -318,3 +318,44 @@ def lookup_join(
     return left.join(
         F.broadcast(small), _condition(hidden, null_safe), how
     ).drop(*[h for _, h in hidden])
+
+
+def bucketed_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: str | Sequence[str | tuple[str, str]],
+    how: str = "left",
+    rows_per_task: int = ROWS_PER_TASK,
+    **limits: int,
+) -> DataFrame:
+    """Join of tables that are staged in buckets of the join keys: no row is exchanged.
+
+    A bucket is joined by one task. Keys with more than ``rows_per_task`` left rows are
+    taken out and joined as :func:`lookup_join` does, with the few right rows they have;
+    the others stay where they are. On frames without such buckets the result is the
+    same, with the exchanges of any merge join.
+    """
+    pairs = key_pairs(on)
+    hidden, shown = _hide_keys(left, right, pairs)
+    keys = [l for l, _ in pairs]
+    hashes = key_hashes(left, hidden, shown)
+    heavy = None if hashes is None else heavy_split(left, hashes[0], keys, rows_per_task)
+    drop = [h for _, h in shown]
+    if heavy is None or not heavy.size.rows:
+        joined = left.join(hidden.hint("merge"), _condition(shown, False), how)
+        return joined.drop(*drop)
+    hot = F.broadcast(heavy.frame.select(HASH)) if heavy.size.fits() else heavy.frame.select(HASH)
+
+    def part(df: DataFrame, key_hash: Column, kind: str) -> DataFrame:
+        hashed = df.withColumn("__h", F.coalesce(key_hash, F.lit(0)))
+        return hashed.join(hot, F.col("__h") == F.col(HASH), kind).drop("__h")
+
+    cold = part(left, hashes[0], "left_anti").join(
+        hidden.hint("merge"), _condition(shown, False), how
+    ).drop(*drop)
+    # The same rows by hash on both sides, so every right row that matches is there.
+    few = part(hidden, hashes[1], "left_semi")
+    apart = lookup_join(
+        part(left, hashes[0], "left_semi"), few, shown, how, rows_per_task=rows_per_task, **limits
+    )
+    return cold.unionByName(apart)

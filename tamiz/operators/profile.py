@@ -13,7 +13,8 @@ from ..functions.text import is_blank
 from .dedup import tie_break
 
 
-def _missing(name: str, data_type: T.DataType) -> Column:
+def missing(name: str, data_type: T.DataType) -> Column:
+    """Whether a column is NULL, or blank where it is text."""
     c = F.col(f"`{name}`")
     # Only text can be blank; casting anything else to text would be wasted work.
     textual = isinstance(data_type, (T.StringType, T.BinaryType))
@@ -25,7 +26,7 @@ def profile(df: DataFrame, table: str) -> DataFrame:
     fields = df.schema.fields
     one_row = df.agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.count_if(_missing(f.name, f.dataType)).alias(f"c{i}") for i, f in enumerate(fields)],
+        *[F.count_if(missing(f.name, f.dataType)).alias(f"c{i}") for i, f in enumerate(fields)],
     )
     return one_row.select(
         F.lit(table).alias("table"),

@@ -33,7 +33,7 @@ from ..operators.rules import (
 )
 from ..sources.delimited import CORRUPT, read_delimited, declare
 from ..sources.spreadsheet import MISSING_TEXTS, read_ragged, read_workbook
-from ..sources.staged import stage_tables
+from ..sources.staged import stage_bucketed, stage_tables
 from . import values as V
 
 # What is done with the rows of a source and their spec: cleaning, or counting what it loses.
@@ -489,17 +489,39 @@ def program_final(programs: DataFrame, schools: DataFrame, faculties: DataFrame)
     )
 
 
+# Keys that enrolments and subjects share, by the names of each.
+ENROLMENT_SUBJECT = ["COD_CARRERA_PROGRAMA", "strCodMateria"]
+SUBJECT = ["COD_CARRERA_PROGRAMA", "COD_MATERIA"]
+
+
+def stage_enrolments(
+    enrolments: DataFrame, subjects: DataFrame, base: str, buckets: int
+) -> tuple[DataFrame, DataFrame]:
+    """Enrolments and subjects staged in the same buckets of program and subject.
+
+    Every load that enriches the enrolments then joins them in place. Take as many
+    buckets as give tasks of a fitting size.
+    """
+    return (
+        stage_bucketed(enrolments, f"{base}/matricula_bucketed", ENROLMENT_SUBJECT, buckets),
+        stage_bucketed(subjects, f"{base}/materia_bucketed", SUBJECT, buckets),
+    )
+
+
 def enrolment_final(
     enrolments: DataFrame,
     periods: DataFrame,
     programs: DataFrame,
     subjects: DataFrame,
     compat: bool = False,
+    placed: bool = False,
 ) -> DataFrame:
     """Enrolment facts with period, program hierarchy and subject.
 
     Subjects are unique per program, so they are joined on both columns.
-    ``compat`` joins on the subject code alone, which multiplies rows.
+    ``compat`` joins on the subject code alone, which multiplies rows. ``placed`` says
+    that enrolments and subjects come from :func:`stage_enrolments`, so the join moves
+    none of them.
     """
     joined = enrich(
         enrolments,
@@ -516,7 +538,7 @@ def enrolment_final(
             programs, [("COD_CARRERA_PROGRAMA", "cod_carrera")],
             ["carrera", "escuela", "facultad"], name="program",
         ),
-        _subject_lookup(subjects, compat),
+        replace(_subject_lookup(subjects, compat), placed=placed and not compat),
     )
     names = {
         "Estudiante": "cod_estudiante", "strCodPeriodo": "cod_periodo",

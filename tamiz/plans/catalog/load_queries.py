@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ...operators.history import valid_at
 from ...operators.keymap import extend_key_map, with_ids
+from ...operators.partial_profile import StoredProfile
 from ...operators.partitions import upsert_buckets, write_buckets
 from ...sources.staged import shared_folder, stage
 from .. import values as V
@@ -108,3 +109,40 @@ def title_history_then(s: SparkSession, d: str) -> DataFrame:
     return valid_at(title_history(s, d), F.lit("2024-01-31").cast("timestamp_ntz")).select(
         "cod_titulo", "cod_carrera", "titulo", "version"
     )
+
+
+# Columns of the profiled orders as SQL of both sides; blanks and NULLs are planted.
+_ORDERS = {
+    "o_orderkey": "o_orderkey",
+    "o_custkey": "CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE o_custkey END",
+    "priority": "CASE WHEN o_orderkey % 5 = 0 THEN '  ' WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderpriority END",
+    "year": "extract(year FROM o_orderdate)",
+}
+
+
+@query(
+    "profile_incremental",
+    " UNION ALL ".join(
+        f"""SELECT 'orders' AS "table", CAST({i} AS INTEGER) AS position, '{c}' AS "column", count(*) AS rows,
+            count(*) FILTER (WHERE {x} IS NULL OR trim(CAST({x} AS STRING)) = '') AS null_or_blank FROM orders"""
+        for i, (c, x) in enumerate(_ORDERS.items(), 1)
+    ),
+)
+def profile_incremental(s: SparkSession, d: str) -> DataFrame:
+    """A profile kept up with three loads; each reads the partitions it adds or changes."""
+    orders = table(s, d, "orders").select(*[F.expr(x).alias(c) for c, x in _ORDERS.items()])
+    base = shared_folder(s, "profiled")
+    stored = StoredProfile(s, f"{base}/orders", f"{base}/states", "year")
+    old, rest = F.col("year") < 1995, F.col("year") % 2 == 0
+
+    def load(rows: DataFrame) -> None:
+        (
+            rows.hint("rebalance", "year").write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(stored.path)
+        )
+        stored.refresh()
+
+    load(orders.filter(old & rest))
+    load(orders.filter(old))
+    load(orders.filter(~old))
+    return stored.profile("orders").drop("type")

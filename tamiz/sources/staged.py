@@ -59,6 +59,24 @@ def stage(
     return reader.load(path)
 
 
+def stage_bucketed(
+    df: DataFrame, path: str, keys: Sequence[str], buckets: int, name: str | None = None
+) -> DataFrame:
+    """Stage a table in sorted buckets of ``keys`` and return it as a table.
+
+    Tables in the same number of buckets of keys of the same types are joined on those
+    keys without moving a row (:func:`tamiz.operators.joins.bucketed_join`), in every
+    later job as well; the rows are dealt out once, here. The buckets are known to the
+    catalog of the session, under ``name`` or one of its own.
+    """
+    name = name or f"bucketed_{uuid.uuid4().hex}"
+    (
+        df.repartition(buckets, *keys).write.mode("overwrite")
+        .bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    )
+    return df.sparkSession.table(name)
+
+
 def stage_tables(
     tables: Mapping[str, DataFrame], base: str, fmt: str = "parquet", at_once: int = 4
 ) -> dict[str, DataFrame]:

@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 
 from tamiz.operators.dims import upsert
 from tamiz.operators.history import apply_load, open_history, row_hash, valid_at
+from tamiz.operators.joins import bucketed_join, lookup_join
 from tamiz.operators.keymap import extend_key_map, with_ids
+from tamiz.operators.partial_profile import StoredProfile
 from tamiz.operators.partitions import bucket_column, key_bucket, upsert_buckets, write_buckets
-from tamiz.sources.staged import stage
+from tamiz.operators.profile import profile
+from tamiz.sources.staged import stage, stage_bucketed
 
 SMALL = {"broadcast_rows": 0, "rows_per_task": 2}
 
@@ -136,3 +139,82 @@ def test_row_hash_knows_borders_and_nulls(spark):
     data = [("ab", "c"), ("a", "bc"), (None, "x"), ("", "x"), ("x", None), ("n:", ""), ("|", ":")]
     found = spark.createDataFrame(data, "a string, b string").select(row_hash(["a", "b"])).distinct()
     assert found.count() == len(data)
+
+
+def _partitioned(spark, path, rows, mode="append"):
+    (spark.createDataFrame(rows, "a string, b int, day string").write.mode(mode)
+     .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path))
+
+
+def test_a_profile_scans_new_and_changed_partitions_only(spark, rows, tmp_path):
+    path, states = f"file://{tmp_path}/t", f"file://{tmp_path}/s"
+    stored = StoredProfile(spark, path, states, "day")
+    _partitioned(spark, path, [("x", 1, "d1"), (" ", None, "d1"), (None, 2, "d2")])
+    assert stored.refresh() == ["d1", "d2"] and stored.refresh() == []
+    _partitioned(spark, path, [("y", 1, "d3"), ("", 3, None)])
+    assert sorted(r["part"] for r in stored.outdated().collect()) == ["__HIVE_DEFAULT_PARTITION__", "d3"]
+    scan = stored.to_scan(["d3"])
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [day" in plan.replace("isnotnull(", "").replace("cast(", "")
+    assert {f.split("/")[-2] for f in scan.inputFiles()} == {"day=d3"} or scan.count() == 1
+    stored.refresh()
+    _partitioned(spark, path, [("z", None, "d1"), ("", None, "d1"), ("", 4, "d1")], "overwrite")
+    assert stored.refresh() == ["d1"]
+    expected = profile(spark.read.parquet(path), "t")
+    assert rows(stored.profile("t")) == rows(expected)
+
+
+def test_a_profile_of_a_partition_that_is_gone(spark, rows, tmp_path):
+    import shutil
+
+    path = f"file://{tmp_path}/t"
+    stored = StoredProfile(spark, path, f"file://{tmp_path}/s", "day")
+    _partitioned(spark, path, [("x", 1, "d1"), (None, 2, "d2")])
+    stored.refresh()
+    shutil.rmtree(tmp_path / "t" / "day=d2")
+    assert stored.refresh() == []
+    assert [r["rows"] for r in stored.profile("t").collect()] == [1, 1, 1]
+
+
+@pytest.fixture
+def bucketed(spark, tmp_path):
+    facts = spark.range(3000).selectExpr(
+        "if(id % 3 = 0, 'hot', concat('k', id % 400)) a", "if(id % 11 = 0, null, cast(id % 2 as int)) b", "id"
+    )
+    names = spark.range(500).selectExpr("concat('k', id) x", "cast(id % 2 as int) y", "concat('n', id) name")
+    names = names.union(spark.createDataFrame([("hot", 0, "zero"), ("hot", 1, "one")], "x string, y int, name string"))
+    return (
+        stage_bucketed(facts, f"file://{tmp_path}/facts", ["a", "b"], 4),
+        stage_bucketed(names, f"file://{tmp_path}/names", ["x", "y"], 4),
+    )
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+@pytest.mark.parametrize("rows_per_task", [100, 100_000])
+def test_bucketed_tables_join_in_place(spark, rows, bucketed, how, rows_per_task):
+    facts, names = bucketed
+    on = [("b", "y"), ("a", "x")]
+    found = bucketed_join(facts, names, on, how, rows_per_task)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan, plan
+    assert "SortMergeJoin" in plan
+    assert rows(found) == rows(lookup_join(facts, names, on, how))
+
+
+def test_enrolments_join_their_subjects_in_place(spark, rows, tmp_path):
+    from tamiz.plans import academic as A
+
+    facts = spark.createDataFrame(
+        [(i, "p1", f"c{i % 3}", f"m{i % 7}", "PRI") for i in range(100)],
+        "Estudiante int, strCodPeriodo string, COD_CARRERA_PROGRAMA string, strCodMateria string, strCodFormaAprob string")
+    subjects = spark.createDataFrame(
+        [(f"c{c}", f"m{m}", f"S{c}{m}") for c in range(3) for m in range(5)],
+        "COD_CARRERA_PROGRAMA string, COD_MATERIA string, MATERIA string")
+    periods = spark.createDataFrame([("p1", "P", None, None)],
+                                    "strCodigo string, strDescripcion string, dtFechaInic_parsed date, dtFechaFin_parsed date")
+    programs = spark.createDataFrame([("c0", "C", "E", "F")], "cod_carrera string, carrera string, escuela string, facultad string")
+    placed = A.stage_enrolments(facts, subjects, f"file://{tmp_path}", 4)
+    found = A.enrolment_final(placed[0], periods, programs, placed[1], placed=True)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert rows(found) == rows(A.enrolment_final(facts, periods, programs, subjects))
