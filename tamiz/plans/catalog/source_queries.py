@@ -237,6 +237,7 @@ def make_workbook(rows: list[list[object]]) -> bytes:
     sheet = "".join(f"<row>{''.join(map(_cell, r))}</row>" for r in rows)
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        z.comment = b"\n"
         z.writestr(
             "xl/workbook.xml",
             f'{_XML}<workbook {_MAIN} xmlns:r="{_REL}"><sheets>'
@@ -291,20 +292,20 @@ def xlsx_scan(s: SparkSession, d: str) -> DataFrame:
     )
 
 
+WRITTEN = "*.txt"
+
+
 def _as_files(s: SparkSession, made: DataFrame) -> str:
-    """Write workbooks held in a frame as .xlsx files of a shared folder.
+    """Write workbooks held in a frame, each a file of a shared folder, where they were made.
 
-    They are given names by the text writer's tasks and hold bytes, so they go
-    through Hadoop's file system, one workbook at a time.
+    The tasks write them with the text source, which puts bytes out as they are and a
+    line end after them: that is the workbook's comment. A folder holds one workbook.
     """
     folder = shared_folder(s, "workbooks")
-    hadoop = s.sparkContext._jvm.org.apache.hadoop.fs
-    conf = s.sparkContext._jsc.hadoopConfiguration()
-    for i, row in enumerate(made.toLocalIterator()):
-        path = hadoop.Path(f"{folder}/book-{i:06d}.xlsx")
-        out = path.getFileSystem(conf).create(path)
-        out.write(bytearray(row["content"]))
-        out.close()
+    body = F.expr("substring(content, 1, octet_length(content) - 1)")
+    made.select(
+        F.monotonically_increasing_id().alias("book"), body.cast("string").alias("value")
+    ).write.partitionBy("book").option("lineSep", "\n").text(folder)
     return folder
 
 
@@ -321,7 +322,7 @@ def xlsx_files(s: SparkSession, d: str) -> DataFrame:
     )
     folder = _as_files(s, _workbooks(rows, rows.columns, header=True))
     schema = declare(s_suppkey="long", s_name="string", big="long")
-    return read_workbook(s, folder, schema, missing=MISSING_TEXTS)
+    return read_workbook(s, folder, schema, missing=MISSING_TEXTS, glob=WRITTEN)
 
 
 @query(
@@ -338,7 +339,7 @@ def xlsx_ragged_files(s: SparkSession, d: str) -> DataFrame:
     folder = _as_files(
         s, _workbooks(table(s, d, "nation").select(cells.alias("cells")), ["cells"], False)
     )
-    return clean_rows(read_ragged(s, folder), "cells").select(
+    return clean_rows(read_ragged(s, folder, WRITTEN), "cells").select(
         F.array_join("cells", "|").alias("line")
     )
 

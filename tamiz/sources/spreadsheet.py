@@ -80,9 +80,17 @@ def _date_styles(z: zipfile.ZipFile) -> set[int]:
     }
 
 
-def _number(text: str, is_date: bool) -> str:
-    if is_date:
-        moment = datetime(1899, 12, 30) + timedelta(seconds=round(float(text) * 86400))
+def _first_day(z: zipfile.ZipFile) -> datetime:
+    """Day 0 of the workbook's dates: it counts from 1900, or from 1904."""
+    book = ElementTree.fromstring(z.read("xl/workbook.xml"))
+    settings = book.find(f"{_MAIN}workbookPr")
+    late = settings is not None and settings.get("date1904", "0").lower() in ("1", "true")
+    return datetime(1904, 1, 1) if late else datetime(1899, 12, 30)
+
+
+def _number(text: str, day_0: datetime | None) -> str:
+    if day_0 is not None:
+        moment = day_0 + timedelta(seconds=round(float(text) * 86400))
         return moment.strftime("%Y-%m-%d %H:%M:%S")
     value = Decimal(text)
     # Whole numbers that a long can hold are written out, whatever form they are stored in.
@@ -90,7 +98,9 @@ def _number(text: str, is_date: bool) -> str:
     return str(int(value)) if whole else text
 
 
-def _cell(c: ElementTree.Element, strings: list[str], dates: set[int]) -> str | None:
+def _cell(
+    c: ElementTree.Element, strings: list[str], dates: set[int], day_0: datetime
+) -> str | None:
     kind, v = c.get("t", "n"), c.find(f"{_MAIN}v")
     if kind == "inlineStr":
         inline = c.find(f"{_MAIN}is")
@@ -100,7 +110,7 @@ def _cell(c: ElementTree.Element, strings: list[str], dates: set[int]) -> str |
     if kind == "s":
         return strings[int(v.text)]
     if kind == "n":
-        return _number(v.text, int(c.get("s", "0")) in dates)
+        return _number(v.text, day_0 if int(c.get("s", "0")) in dates else None)
     if kind == "b":
         return "True" if v.text == "1" else "False"
     return None if kind == "e" else v.text
@@ -109,7 +119,7 @@ def _cell(c: ElementTree.Element, strings: list[str], dates: set[int]) -> str |
 def sheet_rows(content: bytes) -> Iterator[tuple[int, list[str | None]]]:
     """``(row number, cells)`` of the first sheet, gaps filled with None."""
     with zipfile.ZipFile(io.BytesIO(content)) as z:
-        strings, dates = _shared_strings(z), _date_styles(z)
+        strings, dates, day_0 = _shared_strings(z), _date_styles(z), _first_day(z)
         with z.open(_first_sheet(z)) as sheet:
             number, data = 0, None
             for event, row in ElementTree.iterparse(sheet, ("start", "end")):
@@ -122,7 +132,7 @@ def sheet_rows(content: bytes) -> Iterator[tuple[int, list[str | None]]]:
                 for c in row.findall(f"{_MAIN}c"):
                     at = _column_index(c.get("r", "")) if c.get("r") else len(cells)
                     cells += [None] * (at - len(cells))
-                    cells.append(_cell(c, strings, dates))
+                    cells.append(_cell(c, strings, dates, day_0))
                 data.clear()
                 yield number, cells
 
@@ -174,14 +184,14 @@ def workbook_rows(
     return files.select("path", "content").mapInPandas(parse, ROWS_SCHEMA)
 
 
-def workbook_files(spark: SparkSession, path: str) -> DataFrame:
-    """All workbooks under ``path``."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path)
+def workbook_files(spark: SparkSession, path: str, glob: str = "*.xlsx") -> DataFrame:
+    """All workbooks under ``path``, by the pattern of their names."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
 
 
-def read_ragged(spark: SparkSession, path: str) -> DataFrame:
+def read_ragged(spark: SparkSession, path: str, glob: str = "*.xlsx") -> DataFrame:
     """Rows of cells of all workbooks under ``path``, no header expected."""
-    return workbook_rows(workbook_files(spark, path))
+    return workbook_rows(workbook_files(spark, path, glob))
 
 
 # Texts that common spreadsheet readers take for a missing value.
@@ -213,7 +223,7 @@ def typed_table(
 
 def read_workbook(
     spark: SparkSession, path: str, schema: T.StructType, optional: Sequence[str] = (),
-    missing: Sequence[str] = (),
+    missing: Sequence[str] = (), glob: str = "*.xlsx",
 ) -> DataFrame:
     """Headed workbooks under ``path`` as one typed table."""
-    return typed_table(workbook_files(spark, path), schema, optional, missing)
+    return typed_table(workbook_files(spark, path, glob), schema, optional, missing)

@@ -8,7 +8,7 @@ from tamiz.operators.ragged import clean_rows, level1, level2, level3, parse_nar
 from tamiz.plans.academic import CENSUS_WORDS
 from tamiz.sources import staged
 from tamiz.sources.delimited import CORRUPT, declare, read_delimited
-from tamiz.sources.spreadsheet import MISSING_TEXTS, read_ragged, read_workbook
+from tamiz.sources.spreadsheet import MISSING_TEXTS, read_ragged, read_workbook, sheet_rows
 
 
 def cells_frame(spark, data):
@@ -217,3 +217,14 @@ def test_missing_texts_and_large_whole_numbers(spark, rows, tmp_path):
     assert got == [(None, "x"), (10**15, None), (25 * 10**16, "NA ")]
     kept = read_workbook(spark, str(tmp_path), schema).filter("t = 'N/A'")
     assert kept.count() == 1
+
+
+@pytest.mark.parametrize(
+    "settings, day",
+    [("", "2024-01-31"), ('<workbookPr date1904="1"/>', "2028-02-01"), ('<workbookPr date1904="0"/>', "2024-01-31"),
+     ('<workbookPr/>', "2024-01-31"), ('<workbookPr date1904="true"/>', "2028-02-01")],
+)
+def test_dates_count_from_1900_or_1904(tmp_path, settings, day):
+    write_xlsx(tmp_path / "a.xlsx", [["when", "n"], [45322.5, 45322]], dates={0}, settings=settings)
+    rows = [cells for _, cells in sheet_rows((tmp_path / "a.xlsx").read_bytes())]
+    assert rows == [["when", "n"], [f"{day} 12:00:00", "45322"]]

@@ -18,7 +18,7 @@ def letter(i: int) -> str:
     return out
 
 
-def write_xlsx(path, rows, dates=()):
+def write_xlsx(path, rows, dates=(), settings=""):
     """Text as shared strings; ``dates`` are columns whose numbers are dates."""
     strings: list[str] = []
     xml = []
@@ -43,7 +43,7 @@ def write_xlsx(path, rows, dates=()):
     with zipfile.ZipFile(path, "w") as z:
         z.writestr(
             "xl/workbook.xml",
-            f'<workbook {MAIN} xmlns:r="{REL}"><sheets><sheet name="a" sheetId="1" r:id="rId7"/>'
+            f'<workbook {MAIN} xmlns:r="{REL}">{settings}<sheets><sheet name="a" sheetId="1" r:id="rId7"/>'
             '<sheet name="b" sheetId="2" r:id="rId8"/></sheets></workbook>',
         )
         z.writestr(
