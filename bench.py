@@ -34,6 +34,8 @@ HEADLINE = [
     "calendar_dim", "dim_surrogate_key", "dim_upsert", "geographic_dim", "student_dim",
     "ragged_dpa_parroquias", "csv_roundtrip", "xlsx_scan", "stage_overwrite",
     "staging_quality_report",
+    "enrolment_final_bucketed", "dim_upsert_partitions", "dim_key_map", "title_history",
+    "cleaning_funnel", "infer_types", "profile_incremental", "publish_tables", "staged_counts",
 ]
 
 

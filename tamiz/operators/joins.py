@@ -240,6 +240,7 @@ def salted_join(
     null_safe: bool = False,
     rows_per_task: int = ROWS_PER_TASK,
     largest_group: int = 1,
+    spread: Sequence[str] | None = None,
 ) -> DataFrame:
     """Shuffle join in which large left keys are spread over several tasks.
 
@@ -247,7 +248,8 @@ def salted_join(
     Right rows of a split key are repeated once per salt, at most
     ``left rows / rows_per_task`` extra copies over all keys of a unique lookup.
     ``largest_group`` is the most right rows one key has; if that is too many
-    for one task as well, those keys are joined apart, over a grid.
+    for one task as well, those keys are joined apart, over a grid. ``spread`` names the
+    columns that part the rows of a split key, all by default.
     """
     right, pairs = _hide_keys(left, right, key_pairs(on))
     left_keys, right_keys = [l for l, _ in pairs], [r for _, r in pairs]
@@ -277,7 +279,7 @@ def salted_join(
     else:
         split = heavy_split(left, hashes[0], [] if null_safe else left_keys, rows_per_task)
         marked, copied = _mark_hashed(left, split, hashes[0]), _mark_hashed(right, split, hashes[1])
-    row = row_spread(left)
+    row = row_spread(left if spread is None else left.select(*spread))
     salt = F.coalesce(F.pmod(row, F.col("__salts")), F.lit(0))
     if not null_safe:
         any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in left_keys])
