@@ -13,13 +13,16 @@ import hashlib
 import html
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..shipping import ship_package
 
@@ -28,26 +31,146 @@ END = "\r\n\r\n"
 TEXT_TYPE = "text/plain; charset=utf-8"
 FIELDS_TYPE = "application/warc-fields"
 
-_HIDDEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.I | re.S
+_NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9]*)|<[/!?a-zA-Z]")
+_CLOSES = {
+    n: re.compile(rf"</{n}\s*>", re.I) for n in ("script", "style", "noscript", "template", "title")
+}
+# Elements whose content no reader sees.
+_HIDDEN = frozenset(("script", "style", "noscript", "template"))
+# Elements that begin a line.
+_BREAK = frozenset(
+    "address article aside blockquote body br dd div dl dt fieldset figure footer form h1 h2 h3 h4 "
+    "h5 h6 header hr html li main nav ol p pre section table td th title tr ul".split()
 )
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.I | re.S)
-_LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([^\"'\s>]+)", re.I)
-_HREF = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_BREAK = re.compile(
-    r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figure|footer|form"
-    r"|h[1-6]|header|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>", re.I
-)
-_TAG = re.compile(r"<[/!?a-zA-Z][^>]*>")
+_LANG = re.compile(r"\blang\s*=\s*[\"']?([^\"'\s>]+)", re.I)
+_HREF = re.compile(r"\bhref\s*=\s*", re.I)
+_BARE = re.compile(r"[^\s>]+")
 _RUN = re.compile(r"[^\S\n]+")
 
 
+@dataclass
+class Page:
+    """What a page shows and tells: text, title, language and links."""
+
+    text: str = ""
+    title: str = ""
+    language: str = ""
+    links: list[str] = field(default_factory=list)
+
+
+class _Finder:
+    """``str.find`` that never searches again for what is not there any more."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.gone = page, {}
+
+    def __call__(self, what: str, start: int) -> int:
+        if start >= self.gone.get(what, len(self.page) + 1):
+            return -1
+        at = self.page.find(what, start)
+        if at < 0:
+            self.gone[what] = start
+        return at
+
+    def close(self, name: str, start: int) -> re.Match | None:
+        if start >= self.gone.get(name, len(self.page) + 1):
+            return None
+        found = _CLOSES[name].search(self.page, start)
+        if found is None:
+            self.gone[name] = start
+        return found
+
+
+def read_page(page: str) -> Page:
+    """A page in one pass from left to right, however it is broken.
+
+    A tag ends at the next ``>``; a ``<`` without one is text. Comments, scripts and the
+    like that are not closed hide the rest. Every search either moves on or is not made
+    again, so the time is that of the length of the page.
+    """
+    out, find = Page(), _Finder(page)
+    shown: list[str] = []
+    at = 0
+    while True:
+        start = find("<", at)
+        if start < 0:
+            shown.append(page[at:])
+            break
+        if page.startswith("<!--", start):
+            shown += [page[at:start], " "]
+            end = find("-->", start + 4)
+            if end < 0:
+                break
+            at = end + 3
+            continue
+        name = _NAME.match(page, start)
+        if name is None:
+            shown.append(page[at : start + 1])
+            at = start + 1
+            continue
+        end = find(">", name.end())
+        if end < 0:
+            # No tag is closed any more; a comment may still hide the rest.
+            rest = find("<!--", start)
+            shown.append(page[at:] if rest < 0 else page[at:rest])
+            break
+        shown.append(page[at:start])
+        at = end + 1
+        kind = (name[1] or "").lower()
+        opens = page[start + 1] != "/"
+        if kind in _HIDDEN and opens:
+            shown.append(" ")
+            closing = find.close(kind, at)
+            if closing is None:
+                break
+            at = closing.end()
+            continue
+        if kind in _BREAK:
+            shown.append("\n")
+        if opens and kind == "title" and not out.title:
+            closing = find.close("title", at)
+            if closing is not None:
+                out.title = _line(html.unescape(_untagged(page[at : closing.start()])))
+        elif opens and kind == "html" and not out.language:
+            found = _LANG.search(page, name.end(), end)
+            out.language = found[1] if found else ""
+        elif opens and kind == "a":
+            link = _link(page, name.end(), end, find)
+            if link is not None:
+                out.links.append(html.unescape(link))
+    lines = (x.strip() for x in _RUN.sub(" ", html.unescape("".join(shown))).split("\n"))
+    out.text = "\n".join(x for x in lines if x)
+    return out
+
+
+def _untagged(text: str) -> str:
+    """Text without what is between ``<`` and ``>``."""
+    out, at = [], 0
+    while True:
+        start = text.find("<", at)
+        end = text.find(">", start) if start >= 0 else -1
+        if end < 0:
+            return "".join([*out, text[at:]])
+        out.append(text[at:start])
+        at = end + 1
+
+
+def _link(page: str, start: int, end: int, find: _Finder) -> str | None:
+    """Value of ``href`` in a tag; in quotes it may go on after a ``>``."""
+    found = _HREF.search(page, start, end)
+    if found is None:
+        return None
+    quote = page[found.end() : found.end() + 1]
+    if quote in ("'", '"') and quote:
+        close = find(quote, found.end() + 1)
+        return None if close < 0 else page[found.end() + 1 : close]
+    bare = _BARE.match(page, found.end(), end)
+    return bare[0] if bare else None
+
+
 def plain_text(page: str) -> str:
     """The text a reader sees: no markup, scripts or comments, a line per block."""
-    text = _HIDDEN.sub(" ", page)
-    text = html.unescape(_TAG.sub("", _BREAK.sub("\n", text)))
-    lines = (x.strip() for x in _RUN.sub(" ", text).split("\n"))
-    return "\n".join(x for x in lines if x)
+    return read_page(page).text
 
 
 def digest(data: bytes) -> str:
@@ -79,27 +202,25 @@ def derive(response: dict) -> list[dict]:
     source = response["record_id"]
     headers = response["http_headers"] or []
     payload_digest = digest(page.encode())
-    text = plain_text(page)
+    read = read_page(page)
     ids = {kind: record_id(kind, source) for kind in ("metadata", "conversion")}
     refers = [
         ("WARC-Refers-To", source), ("WARC-Refers-To-Target-URI", _line(url)),
         ("WARC-Refers-To-Date", date),
     ]
     common = [("WARC-Date", date), ("WARC-Target-URI", _line(url))]
-    title, lang = _TITLE.search(page), _LANG.search(page)
-    links = [html.unescape(a or b or c) for a, b, c in _HREF.findall(page)]
     fields = [
         ("source-payload-digest", payload_digest),
         ("source-content-length", str(len(page.encode()))),
         *((f"source-header-{_line(k).lower()}", _line(v)) for k, v in headers),
-        ("title", _line(html.unescape(_TAG.sub("", title[1]))) if title else ""),
-        ("language", lang[1] if lang else ""),
+        ("title", read.title),
+        ("language", read.language),
         ("conversion", ids["conversion"]),
-        *(("outlink", _line(x)) for x in links),
+        *(("outlink", _line(x)) for x in read.links),
     ]
     blocks = {
         "metadata": (FIELDS_TYPE, "".join(f"{k}: {v}\r\n" for k, v in fields if v)),
-        "conversion": (TEXT_TYPE, text),
+        "conversion": (TEXT_TYPE, read.text),
     }
     out = []
     for kind, (content_type, block) in blocks.items():
@@ -211,7 +332,6 @@ def write_warc(derived: DataFrame, folder: str, compression: str = "gzip") -> st
     return folder
 
 
-
 def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Records of files of :func:`write_warc`: type, identifiers, digest and block.
 
@@ -237,3 +357,119 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
         header("WARC-Block-Digest").alias("block_digest"),
         header("Content-Length").cast("long").alias("content_length"), "block",
     )
+
+
+def _inflated(data: bytes) -> Iterator[bytes]:
+    """A file's bytes by gzip members (each by itself), or as they are."""
+    if data[:2] != b"\x1f\x8b":
+        yield data
+        return
+    while data[:2] == b"\x1f\x8b":
+        member = zlib.decompressobj(wbits=31)
+        yield member.decompress(data) + member.flush()
+        data = member.unused_data
+
+
+def frame_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(headers in lower case, block) of every record, framed by its Content-Length.
+
+    Members of a gzip file are taken one after the other; a record may go over several.
+    A record that is cut short, or whose length is no number, ends the file.
+    """
+    rest = b""
+    for part in _inflated(data):
+        rest += part
+        at = 0
+        while True:
+            while rest[at : at + 2] == b"\r\n":
+                at += 2
+            head = rest.find(b"\r\n\r\n", at)
+            if head < 0 or rest[at : at + 5] != b"WARC/":
+                break
+            lines = rest[at:head].decode("utf-8", "replace").split("\r\n")
+            headers: dict[str, str] = {}
+            last = ""
+            for line in lines[1:]:
+                if line[:1] in " \t" and last:
+                    headers[last] += " " + line.strip()
+                    continue
+                last, _, value = line.partition(":")
+                last = last.strip().lower()
+                headers.setdefault(last, value.strip())
+            size = headers.get("content-length", "")
+            stop = head + 4 + int(size) if size.isdigit() else len(rest) + 1
+            if stop > len(rest):
+                break
+            yield headers, rest[head + 4 : stop]
+            at = stop
+        rest = rest[at:]
+
+
+def _http(block: bytes) -> tuple[list[tuple[str, str]], bytes]:
+    """Headers and body of an HTTP response."""
+    head, found, body = block.partition(b"\r\n\r\n")
+    if not found or not head.startswith(b"HTTP/"):
+        return [], block
+    fields = []
+    for line in head.decode("latin-1").split("\r\n")[1:]:
+        name, colon, value = line.partition(":")
+        if colon:
+            fields.append((name.strip(), value.strip()))
+    return fields, body
+
+
+def _text(body: bytes, headers: list[tuple[str, str]]) -> str:
+    kind = next((v for k, v in headers if k.lower() == "content-type"), "")
+    charset = re.search(r"charset\s*=\s*[\"']?([\w.:-]+)", kind, re.I)
+    try:
+        return body.decode(charset[1] if charset else "utf-8", "replace")
+    except LookupError:
+        return body.decode("utf-8", "replace")
+
+
+def _responses(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    out: list[tuple] = []
+    for batch in batches:
+        for path, content in zip(*(batch.column(c) for c in ("path", "content"))):
+            for number, (headers, block) in enumerate(frame_records(content.as_py())):
+                if headers.get("warc-type") != "response":
+                    continue
+                fields, body = _http(block)
+                out.append((
+                    f"{path.as_py()}#{number}", headers.get("warc-record-id"),
+                    headers.get("warc-target-uri", "").strip("<>") or None,
+                    headers.get("warc-date"),
+                    [{"name": k, "value": v} for k, v in fields], _text(body, fields),
+                ))
+                if len(out) >= 256:
+                    yield _rows_of(out, schema)
+                    out = []
+    if out:
+        yield _rows_of(out, schema)
+
+
+def _rows_of(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema
+    )
+
+
+def read_responses(spark: SparkSession, path: str, glob: str = "*.warc*") -> DataFrame:
+    """Response records of WARC files, in the columns that :func:`derivatives` takes.
+
+    The key ``page_id`` is the file and the record's number in it. Files are plain or
+    gzip, also with a member per record, and are read by one task each. Blocks are cut
+    by their Content-Length, HTTP headers taken off and kept, and the body decoded by
+    the character set they name. Records of other types are passed; what follows a
+    broken record in a file is not read. A response without an identifier has NULL.
+    """
+    ship_package(spark)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    schema = T.StructType.fromDDL(
+        "page_id string, record_id string, target_uri string, date string, "
+        "http_headers array<struct<name:string,value:string>>, payload string"
+    )
+    return files.select("path", "content").mapInArrow(
+        partial(_responses, schema=to_arrow_schema(schema)), schema
+    )
