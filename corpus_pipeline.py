@@ -17,7 +17,12 @@ from tamiz.sources.staged import shared_folder, stage
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that break no quality rule."""
+    """Documents that break no quality rule.
+
+    NULL, empty and blank texts have no words and are rejected; texts of any length are
+    judged whole; NULL ids and repeated rows are rows like others; other columns stay,
+    whatever their names; an empty table gives none.
+    """
     return passing(docs)
 
 
@@ -25,19 +30,31 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Documents that the line field scores as good.
 
     The field learns from the raw documents that are labelled and not held out: what
-    the rules have left holds too few bad ones.
+    the rules have left holds too few bad ones. NULL and empty texts get a score like
+    any text, whole texts of any length are scored line by line, repeated rows get the
+    same verdict, NULL ids are never asked for; other columns stay, whatever their
+    names; an empty table gives none.
     """
     field = train_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return classified(docs, field, QUALITY)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that with the smallest id."""
+    """One document of each group of near copies, that with the smallest id.
+
+    Texts without words are copies of each other. Of rows with equal ids the one with
+    the smaller text hash stays, of equal rows one; a group whose ids are all NULL keeps
+    one too. Other columns stay, whatever their names; an empty table gives none.
+    """
     return one_of_each(docs, size=3, max_bits=3)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of at most 2048 tokens."""
+    """Pieces of all documents in sequences of at most 2048 tokens.
+
+    NULL and empty texts are one end id; longer documents are cut, however long; rows
+    with equal or NULL ids are packed each; an empty table gives none.
+    """
     packed = pack_documents(docs, tokenizer_path("word_bpe_49k.json"), 2048, 0)
     return packed.select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
