@@ -9,8 +9,8 @@ place, and only the suffixes that start at an anchor matter. Steps:
 2. Blocks list the hashes of their anchors; those in two blocks come back as bits.
    A suffix whose first K bytes do not repeat cannot match and is left out.
 3. The others go to buckets with the text around them. Sampled splitters cut the
-   range of suffixes by their leading bytes. They are fewer than the K bytes that
-   matching suffixes share, so no match lies across a boundary of buckets.
+   range of suffixes by their leading K bytes. Matching suffixes share these, so no
+   match lies across a boundary of buckets.
 4. A bucket sorts its suffixes by multikey quicksort, and the texts to the left of the
    anchors the same way. A string is a class of suffixes that share enough to the
    right and to the left, as told by common prefixes of neighbours; all but the
@@ -57,6 +57,7 @@ _PLACE = np.uint64(20)
 _PLACES = np.uint64((1 << 20) - 1)
 _TOP = np.uint64(1 << 63)
 _FILTER = 1 << 20
+_LEAD = f"S{K}"
 
 BLOCKS = "block long, n int, bytes long, data binary, lens binary, known binary, ids binary"
 HASHES = "slice int, block long, hashes binary"
@@ -210,9 +211,11 @@ def all_anchors(block: Block, length: int, frequent: Frequent) -> list[np.ndarra
 
 
 def leading(data: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """The eight bytes from places on as a number in the order of the bytes."""
-    words = np.ndarray((len(data) - 7,), ">u8", data.data, 0, (1,)) if len(data) >= 8 else None
-    return words[places].astype(np.uint64) if len(places) else np.zeros(0, np.uint64)
+    """The K bytes from places on, in the order of the bytes."""
+    if not len(places):
+        return np.zeros(0, _LEAD)
+    runs = np.lib.stride_tricks.sliding_window_view(data, K)[places]
+    return np.ascontiguousarray(runs).view(_LEAD).ravel()
 
 
 def _sampled(
@@ -229,7 +232,7 @@ def _sampled(
         many = runs[np.bincount(low, minlength=1 << 22)[low] >= need]
         runs, counts = np.unique(many, return_counts=True)
         yield _batch(schema, [(
-            leading(block.bytes, picked).astype("<u8").tobytes(),
+            leading(block.bytes, picked).tobytes(),
             runs[counts >= need].astype("<u8").tobytes(),
             counts[counts >= need].astype("<i8").tobytes(), len(h),
         )])
@@ -634,7 +637,8 @@ def _sample(blocks: DataFrame, length: int) -> tuple[Frequent, np.ndarray]:
         partial(_sampled, length=length, schema=_ddl(ddl)), ddl
     ).collect()
     none = [np.zeros(0, np.uint64)]
-    leads = np.sort(np.concatenate(none + [np.frombuffer(r["leads"], "<u8") for r in rows]))
+    leads = [np.frombuffer(r["leads"], _LEAD) for r in rows]
+    leads = np.sort(np.concatenate([np.zeros(0, _LEAD), *leads]))
     runs = np.concatenate(none + [np.frombuffer(r["runs"], "<u8") for r in rows])
     counts = np.concatenate(
         [np.zeros(0, np.int64)] + [np.frombuffer(r["counts"], "<i8") for r in rows]

@@ -102,7 +102,7 @@ def test_slices_and_frequent_runs(small, monkeypatch):
         for frequent in (every[:0], every[::2], every):
             block = suffix_dedup.Block(row)
             packets = suffix_dedup._suffixes(
-                block, 100, suffix_dedup.Frequent(frequent), 4, {}, np.array([1 << 62], np.uint64), 2
+                block, 100, suffix_dedup.Frequent(frequent), 4, {}, np.array([b"b"], suffix_dedup._LEAD), 2
             )
             spans = []
             for bucket in (0, 1):
