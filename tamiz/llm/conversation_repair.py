@@ -212,8 +212,9 @@ def plan_repairs(rows: DataFrame, left: Column | None = None) -> DataFrame:
       conversation of its own.
     * Rows of one turn are ordered by role and hash of role and text; repeated rows
       are duplicates. An empty role has no initial and may be kept anywhere.
-    * A conversation is read in order and kept in memory as a few bytes per row,
-      without its texts, however long these are. An empty table gives none.
+    * A conversation is read in order by one task, as its repair depends on all its
+      rows; of each a turn, an initial, a fault and two hashes are held, some hundred
+      bytes, and never its text, however long. An empty table gives none.
     * Columns of other names are not looked at.
     """
     ship_package(rows.sparkSession)
