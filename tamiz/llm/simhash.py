@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ..operators.joins import salted_join
 from ..shipping import ship_package
 from ..sources.staged import shared_folder, stage
 from .components import components
@@ -105,9 +106,11 @@ def near_fingerprints(
         F.col("p").alias("a"), "segment", F.explode(ball).alias("mask"), "part"
     ).select("a", "segment", F.col("part").bitwiseXOR(F.col("mask")).alias("probe"))
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
+    # Both sides grow with the fingerprints, and the size of the exploded one would be
+    # underestimated: neither is ever broadcast.
     return (
         probes.join(
-            table,
+            table.hint("merge"),
             (F.col("segment") == F.col("s")) & (F.col("probe") == F.col("key"))
             & (F.col("a") < F.col("b")) & close,
         )
@@ -153,9 +156,8 @@ def near_duplicates(
     named = stage(
         rooted.select("fingerprint", "group").join(least, "group"), f"{folder}/components"
     )
-    # A fingerprint that a third of all rows share is a hot key: rows are joined with
-    # few classes, which adaptive execution may split.
-    return rows.join(named, "fingerprint").select(
+    # A fingerprint that a third of all rows share is a hot key and is split.
+    return salted_join(rows, named, "fingerprint", "inner").select(
         F.col("key").alias(key), "text_hash", "fingerprint", "group", "component_id"
     )
 
