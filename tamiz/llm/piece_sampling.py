@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..shipping import ship_package
-from .tokens import rounds
+from .tokens import gather, rounds
 
 SPACE = "\u2581"
 ALPHA = 1e-4
@@ -38,10 +38,36 @@ _LITERAL = SPACE * 2
 # Longer words are filtered one by one.
 LONG_WORD = 40
 # Substrings looked up together.
-_AT_ONCE = 1_000_000
+_AT_ONCE = 200_000
+# Bytes of text that a worker samples at once, and edges of lattices that it keeps.
+ROUND_BYTES = 1_500_000
+KEPT_EDGES = 2_000_000
+# Multipliers of the two hashes of a run of characters.
+_FACTORS = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
+def _codes(words: list[str], n: int) -> np.ndarray:
+    """Characters of words of ``n`` characters, a row each."""
+    return np.frombuffer("".join(words).encode("utf-32-le"), "<u4").reshape(-1, n).astype(np.uint64)
+
+
+def _run_hashes(codes: np.ndarray, factor: np.uint64) -> np.ndarray:
+    """Hash of every row of characters."""
+    h = np.zeros(len(codes), np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(codes.shape[1]):
+            h = h * factor + codes[:, k]
+    return h
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * _MIX[1]
+        x = (x ^ (x >> np.uint64(27))) * _MIX[2]
+        return x ^ (x >> np.uint64(31))
+
+
 class Pieces:
     """Matchable pieces of a model with their log weights, and byte pieces."""
 
@@ -68,15 +94,58 @@ class Pieces:
                     least = min(least, alpha * model.get_score(i))
         if min(self.byte_id) < 0:
             raise ValueError("lossless pieces need a model with byte pieces")
+        self._joined: tuple[np.ndarray, np.ndarray] | None = None
         self.longest = max(map(len, self.weight), default=1)
         self.byte_weight = least - 1.0
         # What a slice of a word can be: a piece, or an ASCII character spelled in a byte.
         spelled = {chr(b): (self.byte_id[b], self.byte_weight) for b in range(128)}
         known = {**{c: v for c, v in spelled.items() if c not in self.weight}, **self.weight}
-        self.names = pa.array(list(known), pa.large_string())
+        self._index(list(known))
         self.ids = np.array([v[0] for v in known.values()], np.int32)
         self.weights = np.array([v[1] for v in known.values()] + [-np.inf])
 
+    def _index(self, names: list[str]) -> None:
+        """Tables from the top bits of a hash to the piece; the second takes what collides."""
+        self.hashes = np.zeros((2, len(names)), np.uint64)
+        self.lengths = {len(w) for w in names}
+        for n in self.lengths:
+            own = np.array([k for k, w in enumerate(names) if len(w) == n])
+            codes = _codes([names[k] for k in own], n)
+            for h, f in zip(self.hashes, _FACTORS):
+                h[own] = _run_hashes(codes, f)
+        bits = 20
+        while True:
+            self.shift = np.uint64(64 - bits)
+            self.tables = np.full((2, 1 << bits), -1, np.int32)
+            rest = np.arange(len(names))
+            for h, table in zip(self.hashes, self.tables):
+                slot = (_mixed(h[rest]) >> self.shift).astype(np.int64)
+                table[slot] = rest
+                rest = rest[table[slot] != rest]
+            if not len(rest):
+                return
+            bits += 1
+
+    def look_up(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """The piece of each pair of hashes, -1 for none."""
+        out = self.tables[0][(_mixed(first) >> self.shift).astype(np.int64)]
+        out[(self.hashes[0][out] != first) | (self.hashes[1][out] != second)] = -1
+        other = self.tables[1][(_mixed(second) >> self.shift).astype(np.int64)]
+        at = np.nonzero(other >= 0)
+        if len(at[0]):
+            k = other[at]
+            out[at] = np.where(
+                (self.hashes[0][k] == first[at]) & (self.hashes[1][k] == second[at]), k, out[at]
+            )
+        return out
+
+    def joined(self) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of all pieces one after the other, and bytes per piece."""
+        if self._joined is None:
+            sizes = np.fromiter(map(len, self.text), np.int64, len(self.text))
+            self._joined = np.frombuffer(b"".join(self.text), np.uint8), sizes
+        return self._joined
+
 
 _LOADED: dict[tuple[str, float], Pieces] = {}
 
@@ -131,9 +200,9 @@ class Lattices:
     of the word). Words of equal length are filtered side by side.
     """
 
-    def __init__(self, words: pa.Array, pieces: Pieces):
+    def __init__(self, words: pa.Array, pieces: Pieces, first_node: int = 0):
         self.pieces = pieces
-        self.nodes = 0
+        self.nodes = first_node
         self._keys: list[np.ndarray] = []
         self._piece: list[np.ndarray] = []
         self._origin: list[np.ndarray] = []
@@ -154,16 +223,17 @@ class Lattices:
         self.keys = np.concatenate([*self._keys, empty])
         self.piece = np.concatenate([*self._piece, empty.astype(np.int32)])
         self.origin = np.concatenate([*self._origin, empty])
+        counts = np.bincount((self.keys >> 32) - first_node, minlength=self.nodes - first_node)
+        # The first edge of every node.
+        self.first = np.cumsum(counts) - counts
 
     def _side_by_side(self, words: pa.Array, which: np.ndarray, n: int) -> np.ndarray:
         """Filter words of ``n`` characters; returns those with a character to spell out."""
         longest, weights = self.pieces.longest, self.pieces.weights
         taken = words.take(pa.array(which))
         spans = [(i, j) for j in range(1, n + 1) for i in range(max(0, j - longest), j)]
-        slices = pa.concat_arrays([pc.utf8_slice_codeunits(taken, i, j) for i, j in spans])
-        found = pc.fill_null(pc.index_in(slices, value_set=self.pieces.names), -1)
-        found = found.to_numpy(zero_copy_only=False).reshape(len(spans), len(which))
         at = {span: k for k, span in enumerate(spans)}
+        found = self._found(_codes(taken.to_pylist(), n), at)
         whole = np.all([found[at[i, i + 1]] >= 0 for i in range(n)], axis=0)
         whole &= ~pc.equal(taken, _LITERAL).to_numpy(zero_copy_only=False)
         found, good = found[:, whole], which[whole]
@@ -190,6 +260,22 @@ class Lattices:
         self.nodes += n * m
         return which[~whole]
 
+    def _found(self, codes: np.ndarray, at: dict[tuple[int, int], int]) -> np.ndarray:
+        """The piece that each span of each word is, -1 for none; spans are rows."""
+        m, n = codes.shape
+        found = np.full((len(at), m), -1, np.int32)
+        hashes = [np.zeros((m, n), np.uint64) for _ in _FACTORS]
+        for length in range(1, min(n, self.pieces.longest) + 1):
+            starts = n - length + 1
+            # One character more than the runs before.
+            hashes = [
+                h[:, :starts] * f + codes[:, length - 1 :] for h, f in zip(hashes, _FACTORS)
+            ]
+            if length in self.pieces.lengths:
+                rows = [at[i, i + length] for i in range(starts)]
+                found[rows] = self.pieces.look_up(*hashes).T
+        return found
+
     def _one(self, word: str) -> int:
         """Filter one word; a character without a piece is spelled in bytes."""
         get, longest = self.pieces.weight.get, self.pieces.longest
@@ -236,14 +322,47 @@ class Lattices:
         return at[n]
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _MIX[1]
-    x = (x ^ (x >> np.uint64(27))) * _MIX[2]
-    return x ^ (x >> np.uint64(31))
+class Kept:
+    """Lattices of the words met so far, so that a worker filters a word once.
+
+    They are dropped when they have more than ``KEPT_EDGES`` edges, which bounds the
+    memory; a word that is filtered again gets the same lattice.
+    """
+
+    def __init__(self, pieces: Pieces):
+        self.pieces = pieces
+        self._drop()
+
+    def _drop(self) -> None:
+        self.number: dict[str, int] = {}
+        none = np.zeros(0, np.int64)
+        self.last, self.keys, self.piece, self.origin = none, none, none.astype(np.int32), none
+        self.first, self.nodes = none, 0
+
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        """Numbers of distinct words in ``last``, new ones filtered."""
+        if len(self.keys) > KEPT_EDGES:
+            self._drop()
+        texts = words.to_pylist()
+        found = np.array([self.number.get(t, -1) for t in texts], np.int64)
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            more = Lattices(words.take(pa.array(new)), self.pieces, self.nodes)
+            at = len(self.last)
+            found[new] = np.arange(at, at + len(new))
+            self.number.update(zip([texts[i] for i in new.tolist()], range(at, at + len(new))))
+            # Nodes of later words are larger, so the keys stay in order.
+            self.last = np.concatenate([self.last, more.last])
+            self.first = np.concatenate([self.first, more.first + len(self.keys)])
+            self.keys = np.concatenate([self.keys, more.keys])
+            self.piece = np.concatenate([self.piece, more.piece])
+            self.origin = np.concatenate([self.origin, more.origin])
+            self.nodes = more.nodes
+        return found
 
 
 def sample(
-    words: np.ndarray, seeds: np.ndarray, lattices: Lattices
+    words: np.ndarray, seeds: np.ndarray, lattices: Lattices | Kept
 ) -> tuple[np.ndarray, np.ndarray]:
     """(piece ids of all word occurrences in order, ids per occurrence).
 
@@ -258,7 +377,12 @@ def sample(
         while len(where):
             k = np.uint64(len(steps) + 1)
             u = (_mixed(seeds[where] + k * _MIX[0]) >> np.uint64(32)).astype(np.int64)
-            edge = np.searchsorted(lattices.keys, (node << 32) + u, side="right")
+            # The first edge of the node whose upper end is above the number drawn.
+            edge, drawn = lattices.first[node], (node << 32) + u
+            late = np.flatnonzero(lattices.keys[edge] <= drawn)
+            while len(late):
+                edge[late] += 1
+                late = late[lattices.keys[edge[late]] <= drawn[late]]
             steps.append((where, lattices.piece[edge]))
             counts[where] += 1
             node = lattices.origin[edge]
@@ -273,11 +397,12 @@ def sample(
 
 
 def _encoded(
-    batches: Iterator[pa.RecordBatch], path: str, alpha: float
+    batches: Iterator[pa.RecordBatch], path: str, alpha: float, verify: str | None
 ) -> Iterator[pa.RecordBatch]:
     pieces = loaded(path, alpha)
+    kept = Kept(pieces)
     for batch in batches:
-        for part in rounds(batch, "__text"):
+        for part in rounds(batch, "__text", ROUND_BYTES):
             flat, sizes = all_segments(part.column("__text"))
             coded = flat.dictionary_encode()
             place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -285,32 +410,34 @@ def _encoded(
             with np.errstate(over="ignore"):
                 seeds = _mixed(np.repeat(row, sizes) + (place.astype(np.uint64) + np.uint64(1))
                                * _MIX[2])
-            lattices = Lattices(coded.dictionary, pieces)
-            ids, counts = sample(
-                coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), seeds, lattices
-            )
+            words = kept.numbers(coded.dictionary)
+            which = coded.indices.to_numpy(zero_copy_only=False)
+            ids, counts = sample(words[which], seeds, kept)
             ends = np.concatenate([[0], np.cumsum(counts)])[
                 np.concatenate([[0], np.cumsum(sizes)])
             ]
             values = ids.astype("<u4")
             crc = [zlib.crc32(values[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    **{
-                        c: part.column(c) for c in part.schema.names if c not in ("__text", "__seed")
-                    },
-                    "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)),
-                    "ids_crc32": pa.array(crc, pa.int64()),
-                }
-            )
+            columns = {
+                **{c: part.column(c) for c in part.schema.names if c not in ("__text", "__seed")},
+                "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)),
+                "ids_crc32": pa.array(crc, pa.int64()),
+            }
+            if verify:
+                texts = pc.fill_null(part.column("__text"), "")
+                columns[verify] = pc.equal(_texts(ids, ends, pieces), texts.cast(pa.large_string()))
+            yield pa.RecordBatch.from_pydict(columns)
 
 
 def sample_pieces(
     documents: DataFrame, model: str, carried: dict[str, Column], seed_by: Column,
-    text: str = "text", alpha: float = ALPHA, seed: int = 0,
+    text: str = "text", alpha: float = ALPHA, seed: int = 0, verify: str | None = None,
 ) -> DataFrame:
     """The ``carried`` columns, ``ids`` and ``ids_crc32`` of a sampled segmentation.
 
+    With ``verify`` a column of that name tells whether the ids decode to the text; they
+    are decoded where they are sampled, so whole texts are not sent once more.
+
     ``alpha`` near 0 draws among all segmentations alike, a large one takes the best.
     Rows with equal ``seed_by`` and text give equal ids; another ``seed`` gives others.
 
@@ -318,7 +445,8 @@ def sample_pieces(
       character without a piece, and a space mark in the text itself, is spelled in
       byte pieces, so :func:`decode_pieces` returns every text unchanged.
     * Texts are read whole, however long; a NULL ``seed_by`` is a seed like any other;
-      an empty table gives an empty result.
+      repeated rows give the same ids; an empty table gives an empty result.
+    * Columns that are not ``carried`` are not looked at, whatever their names.
     """
     ship_package(documents.sparkSession)
     picked = documents.select(
@@ -328,9 +456,10 @@ def sample_pieces(
     fields = [f for f in picked.schema.fields if f.name not in ("__text", "__seed")]
     schema = T.StructType(
         [*fields, T.StructField("ids", T.ArrayType(T.IntegerType())),
-         T.StructField("ids_crc32", T.LongType())]
+         T.StructField("ids_crc32", T.LongType()),
+         *([T.StructField(verify, T.BooleanType())] if verify else [])]
     )
-    return picked.mapInArrow(partial(_encoded, path=model, alpha=alpha), schema)
+    return picked.mapInArrow(partial(_encoded, path=model, alpha=alpha, verify=verify), schema)
 
 
 def decode_ids(ids: list[int], pieces: Pieces) -> str:
@@ -339,15 +468,36 @@ def decode_ids(ids: list[int], pieces: Pieces) -> str:
     return data[1:].decode()
 
 
+def _texts(ids: np.ndarray, ends: np.ndarray, pieces: Pieces) -> pa.Array:
+    """Texts of rows of piece ids, without the space that encoding puts in front.
+
+    ``ends`` has the first id of every row and the end of the last.
+    """
+    data, sizes = pieces.joined()
+    body = gather(data, sizes, ids.astype(np.int64))
+    at = np.concatenate([[0], np.cumsum(sizes[ids])])[ends]
+    # A row without ids has no space in front.
+    lengths = np.maximum(np.diff(at) - 1, 0)
+    front = np.ones(len(body), bool)
+    front[at[:-1][at[:-1] < at[1:]]] = False
+    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    kept = body[front]
+    return pa.Array.from_buffers(
+        pa.large_string(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(kept)]
+    )
+
+
 def _decoded(batches: Iterator[pa.RecordBatch], path: str, ids: str) -> Iterator[pa.RecordBatch]:
     pieces = loaded(path, ALPHA)
     for batch in batches:
         sizes = pc.fill_null(pc.list_value_length(batch.column(ids)), 0).to_numpy()
-        for start, stop in _runs(sizes, 2_000_000):
+        for start, stop in _runs(sizes, 500_000):
             part = batch.slice(start, stop - start)
-            texts = [decode_ids(x or [], pieces) for x in part.column(ids).to_pylist()]
+            flat = part.column(ids).flatten().to_numpy(zero_copy_only=False)
+            ends = np.concatenate([[0], np.cumsum(sizes[start:stop])]).astype(np.int64)
             columns = {c: part.column(c) for c in part.schema.names if c != ids}
-            yield pa.RecordBatch.from_pydict({**columns, "decoded": pa.array(texts)})
+            texts = _texts(flat, ends, pieces)
+            yield pa.RecordBatch.from_pydict({**columns, "decoded": texts.cast(pa.string())})
 
 
 def _runs(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:

@@ -16,7 +16,7 @@ from .huffman import read_store, write_store
 from .license_scan import license_scan
 from .line_crf import LineField, held_out, score, train
 from .packing import pack_documents
-from .piece_sampling import decode_pieces, sample_pieces
+from .piece_sampling import sample_pieces
 from .quality_rules import COUNTS, RULES, STOP_WORDS, SYMBOLS, quality_rules
 from .simhash import near_duplicates
 from .suffix_dedup import remove_repeats
@@ -178,20 +178,11 @@ def op5_token_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_sampled_pieces")
 def op2_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sampled segmentation of every document, and whether it decodes to its text."""
-    model = tokenizer_path("piece_bpe_32k.model")
-    body = F.coalesce("text", F.lit(""))
-    carried = {"doc_id": F.col("doc_id"), "hash": F.xxhash64(body), "size": F.octet_length(body)}
     sampled = sample_pieces(
-        table(spark, sf_dir, "documents"), model, carried, F.col("doc_id"), seed=1
-    ).withColumn("kept_ids", F.col("ids"))
-    decoded = decode_pieces(sampled, model)
-    same = (F.xxhash64("decoded") == F.col("hash")) & (
-        F.octet_length("decoded") == F.col("size")
-    )
-    return decoded.select(
-        "doc_id", F.size("kept_ids").alias("n_pieces"), "ids_crc32",
-        F.col("kept_ids").alias("ids"), same.alias("lossless"),
+        table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"),
+        {"doc_id": F.col("doc_id")}, F.col("doc_id"), seed=1, verify="lossless",
     )
+    return sampled.select("doc_id", F.size("ids").alias("n_pieces"), "ids_crc32", "ids", "lossless")
 
 
 @query("op6_warc_derivatives")

@@ -3,6 +3,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -211,3 +212,42 @@ def test_licenses_come_from_the_nearest_directory(spark):
     }
     none = spark.createDataFrame([], "doc_id long, path string, text string")
     assert license_scan(none).count() == 0
+
+
+def test_lattices_that_are_kept_give_the_same_pieces(spark, odd_documents, monkeypatch):
+    """Dropping kept lattices, or never keeping any, changes no segmentation."""
+    from pyspark.sql import functions as F
+
+    from tamiz.llm import piece_sampling as P
+
+    pieces = loaded(MODEL, ALPHA)
+    words = pa.array(["\u2581the", "\u2581cat", "x" * 50, "\u2581日本", "\u2581\u2581", "a"] * 1, pa.large_string())
+    seeds = np.arange(600, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    which = np.arange(600) % len(words)
+    fresh = Lattices(words, pieces)
+    expected = sample(which, seeds, fresh)
+    kept = P.Kept(pieces)
+    kept.numbers(words.slice(3))
+    kept.numbers(words.slice(0, 2))
+    numbers = kept.numbers(words)
+    for got, want in zip(sample(numbers[which], seeds, kept), expected):
+        assert (got == want).all()
+    before = len(kept.last)
+    kept.numbers(words)
+    assert len(kept.last) == before
+    monkeypatch.setattr(P, "KEPT_EDGES", 0)
+    for got, want in zip(sample(kept.numbers(words)[which], seeds, kept), expected):
+        assert (got == want).all()
+
+
+def test_sampled_pieces_tell_whether_they_are_lossless(spark, odd_documents):
+    from pyspark.sql import functions as F
+
+    carried = {"kept": F.col("kept"), "text": F.coalesce("text", F.lit(""))}
+    made = sample_pieces(odd_documents, MODEL, carried, F.col("doc_id"), verify="ids_ok")
+    assert made.columns == ["kept", "text", "ids", "ids_crc32", "ids_ok"]
+    assert made.filter("NOT ids_ok OR ids_ok IS NULL").count() == 0
+    back = decode_pieces(made.select("text", "ids"), MODEL)
+    assert back.filter("NOT decoded <=> text").count() == 0
+    plain = sample_pieces(odd_documents, MODEL, carried, F.col("doc_id"))
+    assert plain.exceptAll(made.drop("ids_ok")).count() == 0
