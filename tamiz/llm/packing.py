@@ -3,7 +3,8 @@
 Every partition packs its own items by best fit, longest first. Bins that are
 nearly full are done; the others are handed up as items of the size they hold.
 A round packs the bins of several partitions together, until one task holds all
-that are left or a round saves none. Nothing is shuffled: a round reads the open
+that are left or a round saves none. What a round fills is emitted with the bins that were
+done before. Nothing is shuffled: a round reads the open
 bins of neighbouring partitions, a bounded number per task.
 """
 
@@ -11,7 +12,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -259,18 +260,22 @@ def pack(
     )
     opened = stage(opened, f"{folder}/open-0")
     n_bins, level = opened.count(), 0
+    # Bins that a round fills are emitted and take no part in the next.
+    emitted, full = [], F.col("used") >= nearly_full * capacity
     while n_bins > 1:
         level += 1
         tasks = max(1, -(-n_bins // items_per_task))
         merge = partial(_merge_bins, capacity=capacity, level=level, items=items_per_task)
-        opened = stage(
+        merged = stage(
             opened.coalesce(tasks).mapInArrow(merge, opened.schema), f"{folder}/open-{level}"
         )
+        emitted.append(merged.filter(full))
+        opened = merged.filter(~full)
         left = opened.count()
         if tasks == 1 or left == n_bins:
             break
         n_bins = left
-    moved = opened.select(
+    moved = reduce(DataFrame.unionByName, emitted, opened).select(
         F.col("bin").alias("__to"), F.explode(F.arrays_zip("roots", "shifts")).alias("__m")
     ).select("__to", F.col("__m.roots").alias("__root"), F.col("__m.shifts").alias("__by"))
     placed = first.join(moved, F.col(bin_) == F.col("__root"), "left").select(

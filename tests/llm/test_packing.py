@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given
 from hypothesis import strategies as st
 from public_tokenizers import path
@@ -80,3 +81,31 @@ def test_pieces_are_whole_documents(odd_documents, no_documents):
             got += [(key, r["ids"]) for r in own]  # short documents under one key
     assert sorted(got) == want
     assert pack_documents(no_documents, FILE).count() == 0
+
+
+def test_rounds_emit_what_they_fill(spark, monkeypatch):
+    """No bin that a round has filled is an item of a later round."""
+    from tamiz.llm import packing
+
+    rounds_ = []
+    original = packing.stage
+
+    def record(df, path, *args):
+        out = original(df, path, *args)
+        if "/open-" in path:
+            rounds_.append((df, out))
+        return out
+
+    monkeypatch.setattr(packing, "stage", record)
+    items = spark.range(4000).select("id", (F.col("id") * 37 % 97 + 1).cast("long").alias("length"))
+    packed = packing.pack(items.repartition(16), 100, items_per_task=300)
+    assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 100").count() == 0
+    assert len(rounds_) > 2
+    for before, after in zip(rounds_, rounds_[1:]):
+        # The roots of a round are those of the bins that the round before left open.
+        left = {x for r in before[1].filter(F.col("used") < 99).collect() for x in r["roots"]}
+        taken = {x for r in after[1].collect() for x in r["roots"]}
+        assert taken <= left
+    total = sum(r["length"] for r in items.collect())
+    sequences = packed.select("sequence_id").distinct().count()
+    assert sequences <= 1.03 * total / 100 + 1
