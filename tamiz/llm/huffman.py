@@ -34,6 +34,9 @@ from .tokens import encoder, rounds
 MAGIC = b"HTB1"
 LONGEST = 20
 SPAN = 256
+# Text that a worker encodes at once: the more, the more often a chunk is looked up once
+# for all its places.
+ROUND = 8_000_000
 # Payload bytes after which a block is closed; a longer document is a block by itself.
 BLOCK = 1 << 20
 
@@ -185,7 +188,7 @@ def _tokenised(
     wide = "<u2" if max(enc.size, end_id + 1) <= 1 << 16 else "<u4"
     row = TaskContext.get().partitionId() << 36
     for batch in batches:
-        for part in rounds(batch, "text"):
+        for part in rounds(batch, "text", ROUND):
             flat, sizes = enc.encode(part.column("text"))
             ids = np.insert(flat, np.cumsum(sizes), end_id).astype(wide)
             ends = np.concatenate([[0], np.cumsum(sizes + 1)]) * ids.itemsize

@@ -27,6 +27,8 @@ _CHUNKS = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 _MARKS = frozenset(".,;:!?")
 # Pre-tokens remembered by one worker; cleared when full, so its memory is bounded.
 CACHE = 300_000
+# Longer chunks are encoded anew each time they come.
+LONGEST_KEPT = 64
 
 
 def byte_letters() -> dict[int, str]:
@@ -51,14 +53,22 @@ class Encoder:
         self.spaced = not getattr(self.model, "end_of_word_suffix", None)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self._letters = byte_letters()
+        self._space = self._letters[0x20]
         self._known: dict[str, bytes] = {}
+        # Whole chunks that only the full pipeline encodes, under the chunk as it stands.
+        self._hard: dict[str, bytes] = {}
 
     def _pretoken(self, word: str) -> bytes:
         ids = self._known.get(word)
         if ids is None:
             if len(self._known) >= CACHE:
                 self._known.clear()
-            spelled = word.encode().decode("latin-1").translate(self._letters)
+            if word.isascii():
+                # A pre-token has at most a space in front; other ASCII characters of it
+                # stand for themselves.
+                spelled = self._space + word[1:] if word[0] == " " else word
+            else:
+                spelled = word.encode().decode("latin-1").translate(self._letters)
             ids = array("i", [t.id for t in self.model.tokenize(spelled)]).tobytes()
             self._known[word] = ids
         return ids
@@ -68,6 +78,7 @@ class Encoder:
         found: list[bytes] = []
         hard: list[int] = []
         known, pretoken, spaced = self._known.get, self._pretoken, self.spaced
+        encoded = self._hard.get
         for i, chunk in enumerate(chunks):
             word = chunk if spaced else chunk.lower()
             ids = known(word)
@@ -76,8 +87,10 @@ class Encoder:
                 body = word[:-1] if mark else word
                 letters = body[1:] if body[:1] == " " else body
                 if not (letters.isalpha() and (letters.isascii() or max(letters) < "\u0100")):
-                    hard.append(i)
-                    ids = b""
+                    ids = encoded(chunk)
+                    if ids is None:
+                        hard.append(i)
+                        ids = b""
                 elif mark:
                     ids = (known(body) or pretoken(body)) + pretoken(mark)
                 else:
@@ -87,8 +100,13 @@ class Encoder:
             whole = self.tokenizer.encode_batch(
                 [chunks[i] for i in hard], add_special_tokens=False
             )
+            if len(self._hard) + len(hard) > CACHE:
+                self._hard.clear()
+            keep = len(hard) <= CACHE
             for i, e in zip(hard, whole):
                 found[i] = array("i", e.ids).tobytes()
+                if keep and len(chunks[i]) <= LONGEST_KEPT:
+                    self._hard[chunks[i]] = found[i]
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         return np.frombuffer(b"".join(found), np.int32), sizes
 

@@ -59,3 +59,21 @@ def test_counts_of_whole_texts(spark, odd_documents, no_documents, file):
     got = token_counts(odd_documents, path(file)).collect()
     assert sorted((str(r["doc_id"]), r["n_bytes"], r["n_tokens"]) for r in got) == want
     assert token_counts(no_documents, path(file)).count() == 0
+
+
+def test_hard_chunks_that_are_kept_give_the_same_ids():
+    """The second time a chunk comes from the cache; case and white space tell chunks apart."""
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    texts = ["Ünï 12,345 don't", "ünï 12,345 DON'T", " 日本 🙂", "日本 🙂 ", "x" * 300 + "1"] * 2
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        enc, library = Encoder(path(name)), Tokenizer.from_file(path(name))
+        library.no_truncation()
+        library.no_padding()
+        for _ in range(3):
+            ids, sizes = enc.encode(pa.array(texts))
+            want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+            assert ids.tolist() == [i for w in want for i in w]
+            assert sizes.tolist() == [len(w) for w in want]
+        assert enc._hard
