@@ -19,10 +19,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import lookup_join
+from ..operators.joins import salted_join
 from ..sources.staged import shared_folder, stage
 from .license_texts import TEMPLATES
 from .quality_rules import STOP_WORDS
+from .words import unused
 
 LICENSE_FILE = r"(?i)^(license|licence|copying|notice)([.\-_].*)?$"
 THRESHOLD = 0.7
@@ -185,7 +186,8 @@ def own_licenses(
     rows = template_words(templates)
     every = passages(files)
     telling = r"(?i)(?<![\p{L}\p{N}])(" + "|".join(anchors(templates)) + r")(?![\p{L}\p{N}])"
-    near = every.filter(F.col("body").rlike(telling))
+    # Few passages are near a template; the texts are split and searched once for all that follows.
+    near = stage(every.filter(F.col("body").rlike(telling)), f"{folder}/near")
     words = near.select("path", "passage", F.explode(_words(F.col("body"))).alias("word"))
     often = stage(
         words.groupBy("path", "passage", "word").agg(F.count(F.lit(1)).alias("often")),
@@ -218,7 +220,8 @@ def own_licenses(
         "template, license, t_word, t",
     )
     share = F.coalesce(F.col("df"), F.lit(0)) / F.lit(float(max(total, 1)))
-    weighed = lookup_join(often, known, "word").withColumn(
+    # The vocabulary grows with the texts, so it is never broadcast; frequent words are split.
+    weighed = salted_join(often, known, "word").withColumn(
         "w", F.col("often") * (F.log((1 + SMOOTHING) / (share + SMOOTHING)) + 1)
     )
     marks = near.select("path", "passage", F.lower("body").alias("low")).select(
@@ -285,10 +288,13 @@ def license_scan(
             ).alias("source")
         )
     )
-    folders = plain.select(directory(F.col("path")).alias("dir")).distinct()
-    parts = F.filter(F.split("dir", "/"), lambda x: x != "")
+    # Files may have columns of any name.
+    stems = ("dir", "own_path", "own_license", "own_score", "source")
+    dir_, own_path, own_license, own_score, source = (unused(files.columns, f"__{n}") for n in stems)
+    folders = plain.select(directory(F.col("path")).alias(dir_)).distinct()
+    parts = F.filter(F.split(dir_, "/"), lambda x: x != "")
     above = folders.select(
-        "dir",
+        dir_,
         F.explode(
             F.transform(
                 F.sequence(F.lit(0), F.size(parts)),
@@ -297,24 +303,24 @@ def license_scan(
                 ),
             )
         ).alias("a"),
-    ).select("dir", "a.depth", "a.at")
+    ).select(dir_, "a.depth", "a.at")
     nearest = (
         above.join(places, F.col("at") == F.col("home"))
-        .groupBy("dir").agg(F.max_by("source", "depth").alias("source"))
+        .groupBy(dir_).agg(F.max_by("source", "depth").alias(source))
     )
     named = own.select(
-        F.col("path").alias("own_path"), F.col("license").alias("own_license"),
-        F.col("score").alias("own_score"),
+        F.col("path").alias(own_path), F.col("license").alias(own_license),
+        F.col("score").alias(own_score),
     )
-    rows = files.withColumn("__dir", directory(F.col("path")))
-    joined = rows.join(named, F.col("path") == F.col("own_path"), "left").join(
-        nearest, F.col("__dir") == F.col("dir"), "left"
-    )
-    mine = F.col("own_path").isNotNull()
+    rows = files.withColumn(dir_, directory(F.col("path")))
+    joined = rows.join(named, F.col("path") == F.col(own_path), "left")
+    # A flat directory may hold a third of all files.
+    joined = salted_join(joined, nearest, dir_, spread=["path"])
+    mine = F.col(own_path).isNotNull()
     return joined.select(
         *[F.col(f"`{c}`") for c in files.columns],
-        F.coalesce("own_license", "source.license").alias("license"),
-        F.coalesce("own_score", "source.score").alias("score"),
-        F.when(mine, F.col("own_path")).otherwise(F.col("source.path")).alias("license_from"),
-        (~mine & F.col("source").isNotNull()).alias("inherited"),
+        F.coalesce(own_license, f"{source}.license").alias("license"),
+        F.coalesce(own_score, f"{source}.score").alias("score"),
+        F.when(mine, F.col(own_path)).otherwise(F.col(f"{source}.path")).alias("license_from"),
+        (~mine & F.col(source).isNotNull()).alias("inherited"),
     )

@@ -145,3 +145,54 @@ def test_many_licence_files_in_a_directory(spark):
     assert "collect_" not in scanned._jdf.queryExecution().toString()
     row = scanned.filter(F.col("path") == "d/x.py").first()
     assert (row["license"], row["license_from"]) == ("MIT", "d/LICENSE-000") and row["inherited"]
+
+
+def test_columns_of_any_name_stay(spark):
+    """Columns named like helpers of the scan, and like its results."""
+    names = ["source", "dir", "own_path", "own_license", "home", "__dir", "__source", "score", "word"]
+    rows = [("a/LICENSE", "MIT License", *names), ("a/b/x.txt", "plain words", *names), (None, None, *names)]
+    files = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in ["path", "text", *names]))
+    found = license_scan(files)
+    kept = [c for c in names if c != "score"]
+    assert found.columns == ["path", "text", *kept, "license", "score", "license_from", "inherited"]
+    got = {r["path"]: (r["license"], r["license_from"], r["inherited"]) for r in found.collect()}
+    assert got["a/b/x.txt"] == (got["a/LICENSE"][0], "a/LICENSE", True) and got["a/LICENSE"][0]
+    assert got[None] == (None, None, False)
+    assert all(r[c] == c for r in found.collect() for c in kept)
+
+
+def test_scores_equal_a_plain_cosine(spark):
+    """Every line's cosine to every template, weights from the shares of lines."""
+    import math
+    import re
+
+    templates = [("ONE", "alpha beta licence grant"), ("TWO", "gamma delta delta licence")]
+    texts = [
+        "alpha beta licence grant\nwords of no matter", "alpha licence grant and more words",
+        "gamma delta delta licence", "delta delta gamma licence licence", "matter of words\nalpha", "", None,
+    ]
+    lines = [line for t in texts if t is not None for line in t.split("\n")]
+    words = [re.findall(r"[^\W_]+", line.lower()) for line in lines]
+
+    def weight(word):
+        share = sum(word in w for w in words) / len(lines)
+        return math.log(1.001 / (share + 0.001)) + 1
+
+    def vector(ws):
+        return {w: ws.count(w) * weight(w) for w in ws}
+
+    def cosine(a, b):
+        size = math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+        return sum(x * b.get(w, 0) for w, x in a.items()) / size if size else 0.0
+
+    expected = {}
+    for i, t in enumerate(texts):
+        scored = [
+            (round(cosine(vector(re.findall(r"[^\W_]+", line)), vector(text.split())), 6), -k, name)
+            for line in (t or "").split("\n") for k, (name, text) in enumerate(templates)
+        ]
+        top = max(scored)
+        expected[f"f{i}"] = (top[2], top[0]) if top[0] >= 0.5 else (None, None)
+    files = spark.createDataFrame([(f"f{i}", t) for i, t in enumerate(texts)], "path string, text string")
+    found = {r["path"]: (r["license"], r["score"]) for r in license_scan(files, templates, 0.5).collect()}
+    assert found == expected and sum(v[0] is not None for v in expected.values()) >= 3
