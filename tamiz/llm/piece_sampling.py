@@ -48,8 +48,12 @@ _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(
 
 
 def _codes(words: list[str], n: int) -> np.ndarray:
-    """Characters of words of ``n`` characters, a row each."""
-    return np.frombuffer("".join(words).encode("utf-32-le"), "<u4").reshape(-1, n).astype(np.uint64)
+    """Characters of words of ``n`` characters, a row each.
+
+    Counted from 1: a hash starts at 0, so a leading 0 would not tell in it.
+    """
+    codes = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").reshape(-1, n)
+    return codes.astype(np.uint64) + np.uint64(1)
 
 
 def _run_hashes(codes: np.ndarray, factor: np.uint64) -> np.ndarray:
