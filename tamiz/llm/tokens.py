@@ -10,6 +10,7 @@ as pre-tokens, all others through its whole pipeline.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
@@ -25,8 +26,15 @@ WHITE = "\t-\r \x85\xa0  -     　"
 _UNSAFE = "[\t\n\x0b\x0c\r \u0085   -     　] |\x00"
 _CHUNKS = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 _MARKS = frozenset(".,;:!?")
-# Pre-tokens remembered by one worker; cleared when full, so its memory is bounded.
-CACHE = 300_000
+# A letter with an ASCII mark behind it: a run of letters ends there in any splitting by classes.
+_ENDS = "([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff])([!-/:-@\\[-`{-~])"
+# White space that is not alone.
+_DOUBLE = f"[{WHITE}][{WHITE}]"
+# Pre-tokens remembered by one worker, in two halves: when the newer one is full it takes the
+# place of the older, so memory is bounded and what comes often stays.
+CACHE = 800_000
+# Whole chunks remembered; cleared when full.
+HARD_CACHE = 100_000
 # Longer chunks are encoded anew each time they come.
 LONGEST_KEPT = 64
 
@@ -52,24 +60,35 @@ class Encoder:
         # Vocabularies that mark word ends drop white space and fold case.
         self.spaced = not getattr(self.model, "end_of_word_suffix", None)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        rules = json.loads(self.tokenizer.to_str())
+        split = rules["pre_tokenizer"] or {}
+        # Splitting by classes of characters alone, where letters, marks and a lone white space part.
+        self._by_class = (
+            rules["normalizer"] is None and split.get("type") == "ByteLevel"
+            and split["use_regex"] and not split["add_prefix_space"]
+        )
+        self._added = [t["content"] for t in rules["added_tokens"]]
         self._letters = byte_letters()
         self._space = self._letters[0x20]
         self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
         # Whole chunks that only the full pipeline encodes, under the chunk as it stands.
         self._hard: dict[str, bytes] = {}
 
     def _pretoken(self, word: str) -> bytes:
         ids = self._known.get(word)
         if ids is None:
-            if len(self._known) >= CACHE:
-                self._known.clear()
-            if word.isascii():
-                # A pre-token has at most a space in front; other ASCII characters of it
-                # stand for themselves.
-                spelled = self._space + word[1:] if word[0] == " " else word
-            else:
-                spelled = word.encode().decode("latin-1").translate(self._letters)
-            ids = array("i", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+            ids = self._older.get(word)
+            if ids is None:
+                if word.isascii():
+                    # A pre-token has at most a space in front; other ASCII characters of it
+                    # stand for themselves.
+                    spelled = self._space + word[1:] if word[0] == " " else word
+                else:
+                    spelled = word.encode().decode("latin-1").translate(self._letters)
+                ids = array("i", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+            if len(self._known) >= CACHE // 2:
+                self._known, self._older = {}, self._known
             self._known[word] = ids
         return ids
 
@@ -100,9 +119,9 @@ class Encoder:
             whole = self.tokenizer.encode_batch(
                 [chunks[i] for i in hard], add_special_tokens=False
             )
-            if len(self._hard) + len(hard) > CACHE:
+            if len(self._hard) + len(hard) > HARD_CACHE:
                 self._hard.clear()
-            keep = len(hard) <= CACHE
+            keep = len(hard) <= HARD_CACHE
             for i, e in zip(hard, whole):
                 found[i] = array("i", e.ids).tobytes()
                 if keep and len(chunks[i]) <= LONGEST_KEPT:
@@ -110,14 +129,20 @@ class Encoder:
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         return np.frombuffer(b"".join(found), np.int32), sizes
 
-    def chunks(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-        """(chunks of all texts, chunks per text); a NULL text has none."""
+    def chunks(self, texts: pa.Array, fine: bool = False) -> tuple[pa.Array, np.ndarray]:
+        """(chunks of all texts, chunks per text); a NULL text has none.
+
+        ``fine``: cut as well behind letters and at lone line ends, where the tokenizer
+        does; more chunks, of which fewer are distinct.
+        """
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         if not self.spaced:
             parts = pc.ascii_split_whitespace(texts)
             return parts.flatten(), pc.list_value_length(parts).to_numpy(zero_copy_only=False)
         odd = pc.match_substring_regex(texts, _UNSAFE).to_numpy(zero_copy_only=False)
         plain = pc.if_else(pa.array(odd), "", texts)
+        if fine and self._by_class:
+            plain = self._finely(plain)
         parts = pc.split_pattern(pc.replace_substring(plain, " ", "\x00 "), "\x00")
         sizes = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
         flat = parts.flatten()
@@ -133,11 +158,21 @@ class Encoder:
         pieces.append(flat.slice(start))
         return pa.concat_arrays(pieces), sizes
 
+    def _finely(self, texts: pa.Array) -> pa.Array:
+        """Texts with a mark of a cut behind letters and around line ends that stand alone."""
+        whole = pa.array(np.zeros(len(texts), bool))
+        for token in self._added:
+            whole = pc.or_(whole, pc.match_substring(texts, token))
+        cut = pc.replace_substring_regex(texts, _ENDS, "\\1\x00\\2")
+        lines = pc.replace_substring(cut, "\n", "\x00\n\x00")
+        cut = pc.if_else(pc.match_substring_regex(texts, _DOUBLE), cut, lines)
+        return pc.if_else(whole, texts, cut)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, ids per text)."""
-        flat, per_text = self.chunks(texts)
+        flat, per_text = self.chunks(texts, fine=True)
         coded = flat.dictionary_encode()
-        ids, sizes = self.chunk_ids(coded.dictionary.to_pylist())
+        ids, sizes = self.chunk_ids(listed(coded.dictionary))
         which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         out = gather(ids, sizes, which)
         at = np.concatenate([[0], np.cumsum(sizes[which])])
@@ -145,6 +180,15 @@ class Encoder:
         return out, np.diff(at[ends])
 
 
+def listed(texts: pa.Array) -> list[str]:
+    """The values of an array of strings, split from one string where no NUL is in them."""
+    if not len(texts):
+        return []
+    rows = pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), texts)
+    found = pc.binary_join(rows, pa.scalar("\x00", texts.type))[0].as_py().split("\x00")
+    return found if len(found) == len(texts) else texts.to_pylist()
+
+
 def gather(values: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
     """Concatenate the runs ``which`` of ``values``, where run i has ``sizes[i]`` values."""
     starts = np.cumsum(sizes) - sizes

@@ -77,3 +77,42 @@ def test_hard_chunks_that_are_kept_give_the_same_ids():
             assert ids.tolist() == [i for w in want for i in w]
             assert sizes.tolist() == [len(w) for w in want]
         assert enc._hard
+
+
+def test_words_and_marks_behind_them_are_encoded_once_each():
+    """Runs of marks and line ends do not make chunks of their own out of known words."""
+    enc, library = Encoder(path(FILES[0])), Tokenizer.from_file(path(FILES[0]))
+    calls = []
+
+    class Counted:
+        def encode_batch(self, chunks, **kind):
+            calls.extend(chunks)
+            return library.encode_batch(chunks, **kind)
+
+    enc.tokenizer = Counted()
+    words = ["wey", "äthor", "MIN"]
+    texts = [f"{a}{m}\n{b}{m} {a}" for a in words for b in words for m in ("$$$", ".", "?!", "***")]
+    texts += ["can't.", "a\n\nb", "x<|endoftext|>y.", "a1.b", "\na.", "b.\n", "c. \nd"]
+    ids, sizes = enc.encode(pa.array(texts))
+    assert ids.tolist() == [i for t in texts for i in library.encode(t, add_special_tokens=False).ids]
+    assert not any(w in c for c in calls for w in words)
+
+
+def test_pretokens_are_kept_when_a_half_of_the_cache_is_full(monkeypatch):
+    from tamiz.llm import tokens
+
+    monkeypatch.setattr(tokens, "CACHE", 20)
+    enc, library = Encoder(path(FILES[0])), Tokenizer.from_file(path(FILES[0]))
+    texts = [" ".join(f"w{chr(97 + i)}{chr(97 + j)}" for i in range(9)) for j in range(9)] * 3
+    for t in texts:
+        ids, _ = enc.encode(pa.array([t]))
+        assert ids.tolist() == library.encode(t, add_special_tokens=False).ids
+        assert len(enc._known) <= 10 and len(enc._older) <= 10
+
+
+@given(st.lists(st.text(alphabet="ab\x00é", max_size=3), max_size=6))
+def test_listed(values):
+    from tamiz.llm.tokens import listed
+
+    assert listed(pa.array(values, pa.string())) == values
+    assert listed(pa.array(values, pa.large_string())) == values
