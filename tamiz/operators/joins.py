@@ -202,34 +202,48 @@ def _salts(count: str) -> Column:
 
 
 def _grid_join(
-    left: DataFrame, right: DataFrame, pairs: KeyPairs, split: SplitKeys,
-    null_safe: bool, rows_per_task: int,
+    left: DataFrame, right: DataFrame, pairs: KeyPairs, how: str, null_safe: bool,
+    rows_per_task: int,
 ) -> DataFrame:
-    """Inner join on keys that are large on the right, and maybe on the left.
+    """Left or inner join where some keys are large on the right, and maybe on the left.
 
     Each such key is a grid of tasks: a left row has one row of the grid and is
     repeated over its columns, a right row the other way round, so every pair of
-    rows meets once.
+    rows meets once. All other keys have a grid of one cell. There is one join and no
+    union behind it, so what is summed up over the pairs is summed up where they meet.
     """
     left_keys, right_keys = [l for l, _ in pairs], [r for _, r in pairs]
-    left_salts = split_keys(key_counts(left, left_keys), left_keys, rows_per_task)
-    both = _mark_split(
-        split.frame.withColumnRenamed("__salts", "__right"), left_salts, right_keys, null_safe,
-        ["__salts"],
-    ).withColumnRenamed("__salts", "__left")
-    grid = SplitKeys(both, split.size)
-    cell = F.coalesce(F.pmod(row_spread(left), F.col("__left")), F.lit(0)).cast("int")
-    left_cells = _mark_split(left, grid, left_keys, null_safe, ["__left", "__right"]).select(
-        *left.columns, cell.alias("__i"), F.explode(_salts("__right")).alias("__j")
+    splits = [
+        (split_keys(key_counts(df, keys), keys, rows_per_task), name)
+        for df, keys, name in ((left, left_keys, "__left"), (right, right_keys, "__right"))
+    ]
+
+    def marked(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        for split, name in splits:
+            own = SplitKeys(split.frame.withColumnRenamed("__salts", name), split.size)
+            df = _mark_split(df, own, keys, null_safe, [name])
+        return df
+
+    row = row_spread(left)
+    cell = F.coalesce(F.pmod(row, F.col("__left")), F.lit(0))
+    if not null_safe:
+        any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in left_keys])
+        # They match nothing, so any place will do.
+        cell = F.when(any_null, F.pmod(row, F.lit(1 << 30))).otherwise(cell)
+    left_cells = marked(left, left_keys).select(
+        *left.columns, "__right", cell.cast("int").alias("__i"),
+        F.explode(_salts("__right")).alias("__j"),
     )
-    cell = F.pmod(row_spread(right), F.col("__right")).cast("int")
-    right_cells = (
-        _mark_split(right, grid, right_keys, null_safe, ["__left", "__right"])
-        .filter(F.col("__right").isNotNull())
-        .select(*right.columns, cell.alias("__y"), F.explode(_salts("__left")).alias("__x"))
+    cell = F.coalesce(F.pmod(row_spread(right), F.col("__right")), F.lit(0)).cast("int")
+    right_cells = marked(right, right_keys).select(
+        *right.columns, cell.alias("__y"), F.explode(_salts("__left")).alias("__x")
     )
     on = _condition([*pairs, ("__i", "__x"), ("__j", "__y")], null_safe)
-    return left_cells.join(right_cells, on, "inner").drop("__i", "__j", "__x", "__y", *right_keys)
+    joined = left_cells.join(right_cells, on, how)
+    if how != "inner":
+        # A key that is split on the right has a match in some cell, if not in all.
+        joined = joined.filter(F.col("__y").isNotNull() | F.col("__right").isNull())
+    return joined.drop("__right", "__i", "__j", "__x", "__y", *right_keys)
 
 
 def salted_join(
@@ -248,7 +262,7 @@ def salted_join(
     Right rows of a split key are repeated once per salt, at most
     ``left rows / rows_per_task`` extra copies over all keys of a unique lookup.
     ``largest_group`` is the most right rows one key has; if that is too many
-    for one task as well, those keys are joined apart, over a grid. ``spread`` names the
+    for one task as well, those keys are joined over a grid. ``spread`` names the
     columns that part the rows of a split key, all by default.
     """
     right, pairs = _hide_keys(left, right, key_pairs(on))
@@ -256,19 +270,7 @@ def salted_join(
     if how in ("left_semi", "left_anti"):
         right = right.select(*right_keys).distinct()
     elif largest_group > rows_per_task:
-        split = split_keys(key_counts(right, right_keys), right_keys, rows_per_task)
-        keys, few = split.frame.select(*right_keys), split.size
-        apart = _grid_join(
-            lookup_join(left, keys, pairs, "left_semi", few, null_safe),
-            right, pairs, split, null_safe, rows_per_task,
-        )
-        same = [(r, r) for r in right_keys]
-        rest = salted_join(
-            lookup_join(left, keys, pairs, "left_anti", few, null_safe),
-            lookup_join(right, keys, same, "left_anti", few, null_safe),
-            pairs, how, null_safe, rows_per_task,
-        )
-        return rest.unionByName(apart)
+        return _grid_join(left, right, pairs, how, null_safe, rows_per_task)
 
     hashes = key_hashes(left, right, pairs)
     if hashes is None:

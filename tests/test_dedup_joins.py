@@ -307,3 +307,25 @@ def test_funnel_reads_its_table_once(spark, tmp_path):
     assert plan.count("Relation [") == 1
     none = funnel(spark.read.parquet(path).filter("id < 0"), spec)
     assert {r["rows"] for r in none.collect()} == {0}
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_grid_of_split_keys_is_one_join(spark, how, null_safe):
+    """Every pair meets once, and rows without a match stay, without a union behind the join."""
+    from tamiz.operators.joins import LookupSize, lookup_join
+
+    left = [(k, i) for k, n in ((1, 30), (2, 3), (3, 40), (4, 2), (None, 25), (6, 31)) for i in range(n)]
+    right = [(k, i) for k, n in ((1, 35), (2, 30), (3, 2), (5, 50), (None, 12), (6, 1)) for i in range(n)]
+    left += left[:5]
+    l = spark.createDataFrame(left, "k int, a int")
+    r = spark.createDataFrame(right, "x long, b int")
+    want = []
+    for k, a in left:
+        met = [b for x, b in right if k == x and (null_safe or k is not None)]
+        want += [(k, a, b) for b in met] or ([(k, a, None)] if how == "left" else [])
+    joined = lookup_join(l, r, [("k", "x")], how, LookupSize(130, 1, 50), null_safe,
+                         broadcast_rows=0, rows_per_task=10)
+    assert joined.columns == ["k", "a", "b"]
+    assert sorted(map(tuple, joined.collect()), key=str) == sorted(want, key=str)
+    assert "Union" not in joined._jdf.queryExecution().optimizedPlan().toString()
