@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import salted_join
-from ..sources.staged import shared_folder, stage
+from ..sources.staged import files_for, shared_folder, stage
 from .license_texts import TEMPLATES
 from .quality_rules import STOP_WORDS
 from .words import unused
@@ -188,9 +188,13 @@ def own_licenses(
     telling = r"(?i)(?<![\p{L}\p{N}])(" + "|".join(anchors(templates)) + r")(?![\p{L}\p{N}])"
     # Few passages are near a template; the texts are split and searched once for all that follows.
     near = stage(every.filter(F.col("body").rlike(telling)), f"{folder}/near")
+    # What follows from them is written in files by its size, not one per shuffle partition;
+    # a word and its gap take two characters at least.
+    found, letters = near.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("body")), F.lit(0))).first()
+    few = files_for(letters // 2)
     words = near.select("path", "passage", F.explode(_words(F.col("body"))).alias("word"))
     often = stage(
-        words.groupBy("path", "passage", "word").agg(F.count(F.lit(1)).alias("often")),
+        words.groupBy("path", "passage", "word").agg(F.count(F.lit(1)).alias("often")).coalesce(few),
         f"{folder}/often",
     )
     # In how many lines a word is, kept for the words of passages to be compared and
@@ -206,7 +210,10 @@ def own_licenses(
     asked_for = often.select("word").unionByName(
         values(spark, [(w,) for w in vocabulary], "word")
     ).distinct()
-    known = stage(counted.join(asked_for, "word", "left_semi"), f"{folder}/known")
+    # The join reads the words of all files, so its few rows are moved and its tasks stay many.
+    known = stage(
+        counted.join(asked_for, "word", "left_semi").repartition(few), f"{folder}/known"
+    )
     in_templates = known.join(
         F.broadcast(values(spark, [(w,) for w in vocabulary], "word")), "word", "left_semi"
     )
@@ -248,7 +255,8 @@ def own_licenses(
         ])
     )
     best = F.max_by("license", F.struct("score", (-F.col("template").cast("int")).alias("t")))
-    return scored.groupBy("path").agg(best.alias("license"), F.max("score").alias("score"))
+    licensed = scored.groupBy("path").agg(best.alias("license"), F.max("score").alias("score"))
+    return licensed.coalesce(files_for(found))
 
 
 def directory(path: Column) -> Column:

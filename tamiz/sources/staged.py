@@ -16,6 +16,8 @@ from .counts import footer_counts
 
 REPORT_SCHEMA = "table string, status string, rows long, error string"
 
+ROWS_PER_FILE = 500_000
+
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder every executor can reach.
@@ -59,6 +61,11 @@ def stage(
     return reader.load(path)
 
 
+def files_for(rows: int, rows_per_file: int = ROWS_PER_FILE) -> int:
+    """Files that so many rows fill, one at least."""
+    return max(1, -(-rows // rows_per_file))
+
+
 def stage_bucketed(
     df: DataFrame, path: str, keys: Sequence[str], buckets: int, name: str | None = None
 ) -> DataFrame:

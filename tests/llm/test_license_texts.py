@@ -196,3 +196,25 @@ def test_scores_equal_a_plain_cosine(spark):
     files = spark.createDataFrame([(f"f{i}", t) for i, t in enumerate(texts)], "path string, text string")
     found = {r["path"]: (r["license"], r["score"]) for r in license_scan(files, templates, 0.5).collect()}
     assert found == expected and sum(v[0] is not None for v in expected.values()) >= 3
+
+
+def test_small_tables_are_staged_in_few_files(spark, tmp_path, monkeypatch):
+    """By their size, not one per shuffle partition."""
+    monkeypatch.setattr(
+        "tamiz.llm.license_scan.shared_folder", lambda spark, purpose: f"file://{tmp_path}/{purpose}"
+    )
+    held = {
+        "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "32",
+    }
+    before = {k: spark.conf.get(k) for k in held}
+    rows = [(f"{i}/LICENSE", f"Released under the MIT License.\nword{i} of {i * i}") for i in range(100)]
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        found = license_scan(spark.createDataFrame(rows, SCHEMA).coalesce(2)).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r["license"] for r in found} == {"MIT"} and len(found) == len(rows)
+    parts = {p.name: len(list(p.glob("part-*"))) for p in tmp_path.glob("*/*")}
+    assert parts == {"near": 2, "often": 1, "known": 1, "own": 1}
